@@ -1,10 +1,12 @@
 """Queries of this subpackage."""
 
-from . import exact_dedup
+from . import exact_dedup, source_mix
 
 QUERIES = {
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
+    "op8_source_mix": source_mix.op8_source_mix,
 }
 ORACLES = {
     "op6_exact_dedup": exact_dedup.SQL,
+    "op8_source_mix": source_mix.SQL,
 }
