@@ -1,10 +1,11 @@
 """Queries of this subpackage."""
 
-from . import exact_dedup, source_mix
+from . import bpe_chunks, exact_dedup, source_mix
 
 QUERIES = {
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
     "op8_source_mix": source_mix.op8_source_mix,
+    "op10_bpe_chunks": bpe_chunks.op10_bpe_chunks,
 }
 ORACLES = {
     "op6_exact_dedup": exact_dedup.SQL,
