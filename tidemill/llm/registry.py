@@ -1,9 +1,10 @@
 """Queries of this subpackage."""
 
-from . import bpe_chunks, exact_dedup, source_mix
+from . import bpe_chunks, exact_dedup, quality_qda, source_mix
 
 QUERIES = {
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
+    "op7_quality_qda": quality_qda.op7_quality_qda,
     "op8_source_mix": source_mix.op8_source_mix,
     "op10_bpe_chunks": bpe_chunks.op10_bpe_chunks,
 }
