@@ -1,11 +1,12 @@
 """Queries of this subpackage."""
 
-from . import bpe_chunks, exact_dedup, quality_qda, source_mix
+from . import bpe_chunks, exact_dedup, quality_qda, source_mix, token_shards
 
 QUERIES = {
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
     "op7_quality_qda": quality_qda.op7_quality_qda,
     "op8_source_mix": source_mix.op8_source_mix,
+    "op9_token_shards": token_shards.op9_token_shards,
     "op10_bpe_chunks": bpe_chunks.op10_bpe_chunks,
 }
 ORACLES = {
