@@ -1,8 +1,9 @@
 """Queries of this subpackage."""
 
-from . import bpe_chunks, exact_dedup, quality_qda, source_mix, token_shards
+from . import bpe_chunks, exact_dedup, quality_qda, secret_scan, source_mix, token_shards
 
 QUERIES = {
+    "op4_secret_scan": secret_scan.op4_secret_scan,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
     "op7_quality_qda": quality_qda.op7_quality_qda,
     "op8_source_mix": source_mix.op8_source_mix,
