@@ -1,8 +1,9 @@
 """Queries of this subpackage."""
 
-from . import bpe_chunks, exact_dedup, ogg_media, quality_qda, secret_scan, source_mix, token_shards
+from . import bpe_chunks, exact_dedup, ogg_media, pii_crf, quality_qda, secret_scan, source_mix, token_shards
 
 QUERIES = {
+    "op1_pii_crf": pii_crf.op1_pii_crf,
     "op2_ogg_media": ogg_media.op2_ogg_media,
     "op4_secret_scan": secret_scan.op4_secret_scan,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
