@@ -52,12 +52,9 @@ def refine(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pref
     digest = full if digest_all else F.when(F.col("again"), full)
     keyed = materialize(scan.select("doc_id", "rid", F.coalesce("again", F.lit(False)).alias("again"), "n", digest.alias("digest")), "exact_keys")
 
-    groups = (
-        keyed.filter("again")
-        .groupBy("n", "digest")
-        .agg(F.max(F.struct("doc_id", "rid")).alias("keep"), F.count("*").alias("group_size"))
-        .filter("group_size > 1")
-    )
+    groups = keyed.filter("again").groupBy("n", "digest").agg(F.max(F.struct("doc_id", "rid")).alias("keep"), F.count("*").alias("group_size"))
+    # written, so that the join below deals both sides out itself and can split a hot group
+    groups = materialize(groups.filter("group_size > 1"), "exact_groups")
     alone = keyed.filter("NOT again").select(
         "doc_id", "rid", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "digest"
     )
