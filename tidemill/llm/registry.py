@@ -1,12 +1,13 @@
 """Queries of this subpackage."""
 
-from . import bpe_chunks, exact_dedup, ogg_media, pii_crf, quality_qda, secret_scan, source_mix, token_shards, toxicity_cf
+from . import bpe_chunks, exact_dedup, ngram_join, ogg_media, pii_crf, quality_qda, secret_scan, source_mix, token_shards, toxicity_cf
 
 QUERIES = {
     "op1_pii_crf": pii_crf.op1_pii_crf,
     "op2_ogg_media": ogg_media.op2_ogg_media,
     "op3_toxicity_cf": toxicity_cf.op3_toxicity_cf,
     "op4_secret_scan": secret_scan.op4_secret_scan,
+    "op5_ngram_join": ngram_join.op5_ngram_join,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
     "op7_quality_qda": quality_qda.op7_quality_qda,
     "op8_source_mix": source_mix.op8_source_mix,
