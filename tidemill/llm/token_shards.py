@@ -52,7 +52,7 @@ DICT_BYTES = 32 << 10
 DOCS_PER_SHARD = 4096
 #: Beyond this many shards they grow instead; they are streamed, so their size is no memory.
 MAX_SHARDS = 20_000
-CACHE_ENTRIES = 500_000
+CACHE_ENTRIES = 800_000
 #: A space that follows white space: there, a cut before the space is no boundary for certain.
 UNSURE = re.compile(r"\s ")
 SURE = re.compile(r"(?<=\S)(?= )")
@@ -75,25 +75,51 @@ class IdEncoder:
 
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.width = 2 if self.library.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
+        vocabulary = self.library.get_vocab(with_added_tokens=True)
+        self.width = 2 if max(vocabulary.values()) < 1 << 16 else 4
         self.kind = f"<u{self.width}"
-        self.known: dict[str, bytes] = {}
+        self.bytes_in = np.zeros(max(vocabulary.values()) + 1, dtype=np.int64)  # a byte is a character of a byte-level token
+        for token, i in vocabulary.items():
+            self.bytes_in[i] = len(token)
+        self.known: dict[str, bytes] = {}  # what follows a space -> ids of the space and it
 
     def encode(self, batch: list[str]) -> list[bytes]:
-        cut = [SURE.split(t) if UNSURE.search(t) else _at_spaces(t) for t in batch]
         if len(self.known) > CACHE_ENTRIES:
             self.known.clear()
-        new = list(set().union(*cut).difference(self.known))
-        for i in range(0, len(new), 4096):
-            part = new[i : i + 4096]
-            for unit, e in zip(part, self.library.encode_batch_fast(part, add_special_tokens=False)):
-                self.known[unit] = np.array(e.ids, dtype=self.kind).tobytes()
-        return [b"".join(map(self.known.__getitem__, units)) for units in cut]
-
-
-def _at_spaces(text: str) -> list[str]:
-    first, *rest = text.split(" ")
-    return [first, *[" " + w for w in rest]]
+        firsts, rests = [], []
+        for t in batch:
+            if UNSURE.search(t):
+                first, *rest = SURE.split(t)
+                rest = [u[1:] for u in rest]
+            else:
+                first, *rest = t.split(" ")
+            firsts.append(first)
+            rests.append(rest)
+        self._learn(set().union(*rests).difference(self.known))
+        look = self.known.__getitem__
+        return [first + b"".join(map(look, rest)) for first, rest in zip(self._one_by_one(firsts), rests)]
+
+    def _one_by_one(self, units: list[str]) -> list[bytes]:
+        return [np.array(e.ids, dtype=self.kind).tobytes() for e in self.library.encode_batch_fast(units, add_special_tokens=False)]
+
+    def _learn(self, new: set[str]) -> None:
+        """Encode units that follow a space. Those that neither begin nor end in white space are joined, some hundred
+        to a call, as each of their spaces is a boundary; their ids are told apart by the bytes they stand for."""
+        apart = [w for w in new if not w or w[0].isspace() or w[-1].isspace()]
+        self.known.update(zip(apart, self._one_by_one([" " + w for w in apart])))
+        joined = list(new.difference(apart))
+        groups = [joined[i : i + 200] for i in range(0, len(joined), 200)]
+        calls = [" " + " ".join(g) for g in groups]
+        for g, e in zip(groups, self.library.encode_batch_fast(calls, add_special_tokens=False)):
+            ids = np.array(e.ids, dtype=self.kind)
+            ends = np.cumsum([1 + len(w.encode()) for w in g])
+            at = np.cumsum(self.bytes_in[ids])
+            cut = np.searchsorted(at, ends)
+            if not np.array_equal(at[cut], ends):
+                raise ValueError("a boundary is missing")
+            raw = ids.tobytes()
+            cut = ((cut + 1) * self.width).tolist()
+            self.known.update(zip(g, map(raw.__getitem__, map(slice, [0, *cut[:-1]], cut))))
 
 
 def encoder(path: str) -> IdEncoder:
@@ -163,7 +189,7 @@ def write(docs: DataFrame, folder: str, vocabulary: str | None = None, end_id: i
             }
 
     frames = arrow_map(rows, compress, "shard int, doc_id long, tie long, n_ids long, frame binary")
-    placed = frames.repartition(n_shards, "shard").sortWithinPartitions("shard", "doc_id", "tie", "n_ids")
+    placed = frames.repartitionById(n_shards, F.col("shard")).sortWithinPartitions("shard", "doc_id", "tie", "n_ids")
     schema = pa.schema([("shard", pa.int32()), ("uri", pa.string()), ("n_docs", pa.int64()), ("n_ids", pa.int64())])
 
     def store(batches):
