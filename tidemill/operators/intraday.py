@@ -8,9 +8,19 @@ from pyspark.sql import functions as F
 from ..config import IntradayConfig
 from ..functions.scalar import change, col, flag, move, ratio, spread_ratio, time_bucket
 
-DAY = Window.partitionBy("code", "date")
-ORDERED = DAY.orderBy("datetime")
-SO_FAR = ORDERED.rowsBetween(Window.unboundedPreceding, 0)
+
+def day():
+    return Window.partitionBy("code", "date")
+
+
+def ordered():
+    return day().orderBy("datetime")
+
+
+def so_far():
+    return ordered().rowsBetween(Window.unboundedPreceding, 0)
+
+
 #: Stands for the sign before the first gap: it differs from every sign and is not zero.
 NO_SIGN = 2
 
@@ -18,21 +28,21 @@ NO_SIGN = 2
 def running_gap(bars: DataFrame) -> DataFrame:
     """gap: close against the running volume-weighted price, missing until there is volume. Not rounded: its signs count."""
     volume = F.coalesce("volume", F.lit(0.0))
-    turned, total = F.sum(F.col("close") * volume).over(SO_FAR), F.sum(volume).over(SO_FAR)
+    turned, total = F.sum(F.col("close") * volume).over(so_far()), F.sum(volume).over(so_far())
     return bars.withColumn("gap", F.when(total > 0, F.col("close") / (turned / total) - 1))
 
 
 def crosses() -> Column:
     """1 where the gap's sign differs from the one before, both not zero; the first gap counts unless it is zero."""
     sign = F.signum("gap")
-    before = F.coalesce(F.lag(sign).over(ORDERED), F.lit(float(NO_SIGN)))
+    before = F.coalesce(F.lag(sign).over(ordered()), F.lit(float(NO_SIGN)))
     return F.when(F.col("gap").isNotNull(), ((sign != before) & (sign != 0) & (before != 0)).cast("int"))
 
 
 def reversions(c: IntradayConfig) -> Column:
     """1 where a large gap begins (not at the last bar) that meets zero within the bars ahead."""
-    ahead = ORDERED.rowsBetween(1, c.reversion_bars)
-    before = F.lag("gap").over(ORDERED)
+    ahead = ordered().rowsBetween(1, c.reversion_bars)
+    before = F.lag("gap").over(ordered())
     fresh = (F.abs("gap") >= c.large_gap) & (before.isNull() | (F.abs(before) < c.large_gap))
     back = ((F.col("gap") > 0) & (F.min("gap").over(ahead) <= 0)) | ((F.col("gap") < 0) & (F.max("gap").over(ahead) >= 0))
     return F.coalesce(fresh & back, F.lit(False)).cast("int")
@@ -40,15 +50,15 @@ def reversions(c: IntradayConfig) -> Column:
 
 def numbered(bars: DataFrame) -> DataFrame:
     """bar_no (from 1), n (bars of the day), first_open, last_close, prev (the close before, at first the open)."""
-    whole = ORDERED.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    whole = ordered().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     bars = bars.withColumns({
-        "bar_no": F.row_number().over(ORDERED),
-        "n": F.count("*").over(DAY),
+        "bar_no": F.row_number().over(ordered()),
+        "n": F.count("*").over(day()),
         "first_open": F.first("open").over(whole),
         "last_close": F.last("close").over(whole),
         "last_volume": F.last("volume").over(whole),
     })
-    return bars.withColumn("prev", F.coalesce(F.lag("close").over(ORDERED), F.col("first_open")))
+    return bars.withColumn("prev", F.coalesce(F.lag("close").over(ordered()), F.col("first_open")))
 
 
 def prepared(bars: DataFrame, c: IntradayConfig) -> DataFrame:
@@ -58,19 +68,19 @@ def prepared(bars: DataFrame, c: IntradayConfig) -> DataFrame:
     df = df.withColumns({
         "cross": crosses(),
         "reverted": reversions(c),
-        "day_high": F.max("high").over(DAY),
-        "day_low": F.min("low").over(DAY),
-        "day_volume": F.coalesce(F.sum("volume").over(DAY), F.lit(0.0)),
-        "top": F.max("close").over(SO_FAR),
-        "bottom": F.min("close").over(SO_FAR),
+        "day_high": F.max("high").over(day()),
+        "day_low": F.min("low").over(day()),
+        "day_volume": F.coalesce(F.sum("volume").over(day()), F.lit(0.0)),
+        "top": F.max("close").over(so_far()),
+        "bottom": F.min("close").over(so_far()),
         "log_return": F.when((F.col("prev") > 0) & (F.col("close") > 0), F.ln(F.col("close") / F.col("prev"))).otherwise(0.0),
         "step": ratio("close", "prev") - 1,
         "ofi": clv * F.col("volume"),
-        "typical_volume": F.percentile(F.when(F.col("volume") > 0, F.col("volume")), F.lit(0.5)).over(DAY),
+        "typical_volume": F.percentile(F.when(F.col("volume") > 0, F.col("volume")), F.lit(0.5)).over(day()),
     })
     day_sign = F.signum(change("first_open", "last_close"))
     return df.withColumns({
-        "ofi_sign": F.signum(F.sum("ofi").over(DAY)),
+        "ofi_sign": F.signum(F.sum("ofi").over(day())),
         "day_sign": day_sign,
         "illiquidity": F.when(F.col("amount") > 0, F.abs(F.when(F.col("bar_no") == 1, move("first_open", "close")).otherwise(F.col("step"))) / F.col("amount")),
         "bin": profile_bin(c.profile_bins),

@@ -1 +1,213 @@
-"""Queries."""
+"""Queries on the features of a day, over hourly bars."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..config import HOURLY, HOURLY_LABELS
+from ..operators import daily as D
+from ..operators import intraday as I
+from .common import BARS, hourly, text
+from .registry import add
+
+_W = "PARTITION BY code, date ORDER BY datetime"
+_SO_FAR = f"OVER ({_W} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+_ALL = "OVER (PARTITION BY code, date)"
+_WHOLE = f"OVER ({_W} ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)"
+PREPARED = BARS + f""", b0 AS (
+  SELECT *, row_number() OVER ({_W}) AS no, count(*) {_ALL} AS n, first_value(open) {_WHOLE} AS first_open, last_value(close) {_WHOLE} AS last_close,
+    last_value(volume) {_WHOLE} AS last_volume, max(high) {_ALL} AS day_high, min(low) {_ALL} AS day_low, sum(volume) {_ALL} AS day_volume,
+    max(close) {_SO_FAR} AS top, min(close) {_SO_FAR} AS bottom,
+    CASE WHEN sum(volume) {_SO_FAR} > 0 THEN close / (sum(close * volume) {_SO_FAR} / sum(volume) {_SO_FAR}) - 1 END AS gap,
+    coalesce((2 * close - high - low) / nullif(high - low, 0), 0) * volume AS ofi,
+    quantile_cont(CASE WHEN volume > 0 THEN volume END, 0.5) {_ALL} AS typical_volume FROM bars),
+b1 AS (SELECT *, coalesce(lag(close) OVER ({_W}), first_open) AS prev, coalesce(lag(sign(gap)) OVER ({_W}), 2) AS sign_before, lag(gap) OVER ({_W}) AS gap_before,
+    min(gap) OVER ({_W} ROWS BETWEEN 1 FOLLOWING AND 6 FOLLOWING) AS gap_low, max(gap) OVER ({_W} ROWS BETWEEN 1 FOLLOWING AND 6 FOLLOWING) AS gap_high,
+    sign(sum(ofi) {_ALL}) AS ofi_sign, sign(last_close / first_open - 1) AS day_sign FROM b0),
+b2 AS (SELECT *, CASE WHEN gap IS NULL THEN NULL WHEN sign(gap) <> sign_before AND sign(gap) <> 0 AND sign_before <> 0 THEN 1 ELSE 0 END AS crossed,
+    CASE WHEN abs(gap) >= 0.01 AND (gap_before IS NULL OR abs(gap_before) < 0.01) AND ((gap > 0 AND gap_low <= 0) OR (gap < 0 AND gap_high >= 0)) THEN 1 ELSE 0 END AS reverted,
+    ln(close / prev) AS log_return, close / prev - 1 AS step, abs(close - prev) AS path,
+    CASE WHEN amount > 0 THEN abs(close / prev - 1) / amount END AS illiquidity,
+    CASE WHEN day_high > day_low THEN greatest(1, {' + '.join(f'CAST(day_low + (day_high - day_low) / 10 * {i} < close AS INTEGER)' for i in range(10))}) END AS bin FROM b1)"""
+
+
+def features(s, d):
+    return I.features(hourly(s, d), HOURLY)
+
+
+def query(name: str, columns: str, sql: str, floats: str | None = None) -> None:
+    """columns: what features() calls them; sql: select list over b2, grouped by code and date."""
+    names = columns.split()
+    add(name, lambda s, d: features(s, d).select("code", "date", *names), f"WITH {PREPARED} SELECT code, date, {sql} FROM b2 GROUP BY code, date", floats or columns)
+
+
+def _head(w: int) -> str:
+    return f"no <= {w} AND n >= {w}"
+
+
+def _open(w: int) -> str:
+    return f"""any_value(close) FILTER (no = {w}) / any_value(first_open) - 1 AS open{w}_return,
+      max(high) FILTER ({_head(w)}) / min(low) FILTER ({_head(w)}) - 1 AS open{w}_range"""
+
+
+query("open_windows", " ".join(f"open{w}_{k}" for w in (2, 4, 6, 12) for k in ("return", "range")), ", ".join(_open(w) for w in (2, 4, 6, 12)))
+query(
+    "day_part_returns",
+    "am_return pm_return last_return intraday_range day_return close_location_in_range",
+    """any_value(close) FILTER (no = least(12, n)) / any_value(first_open) - 1 AS am_return, any_value(last_close) / any_value(open) FILTER (no = 13) - 1 AS pm_return,
+    any_value(last_close) / any_value(open) FILTER (no = n - 5 AND n >= 6) - 1 AS last_return, any_value(day_high) / any_value(day_low) - 1 AS intraday_range,
+    any_value(last_close) / any_value(first_open) - 1 AS day_return,
+    (any_value(last_close) - any_value(day_low)) / nullif(any_value(day_high) - any_value(day_low), 0) AS close_location_in_range""",
+)
+query(
+    "trend_efficiency",
+    "trend_efficiency_ratio morning_trend_efficiency_ratio",
+    """CASE WHEN sum(path) > 0 THEN abs(any_value(last_close) - any_value(first_open)) / sum(path) ELSE 0 END AS trend_efficiency_ratio,
+    CASE WHEN sum(path) FILTER (no <= 12) > 0 THEN abs(any_value(close) FILTER (no = least(12, n)) - any_value(first_open)) / sum(path) FILTER (no <= 12) ELSE 0 END AS morning_trend_efficiency_ratio""",
+)
+query("directional_consistency", "directional_consistency", "coalesce(avg(CASE WHEN sign(step) = day_sign THEN 1.0 ELSE 0.0 END) FILTER (step <> 0 AND day_sign <> 0), 0) AS directional_consistency")
+query(
+    "extreme_timing",
+    "low_in_first_hour_flag high_time_bucket low_time_bucket high_before_low_flag",
+    """CASE WHEN first(no ORDER BY low, no) - 1 < least(12, any_value(n)) THEN 1.0 ELSE 0.0 END AS low_in_first_hour_flag,
+    least(floor((first(no ORDER BY high DESC, no) - 1) * 1.0 / any_value(n) * 8) + 1, 8) AS high_time_bucket,
+    least(floor((first(no ORDER BY low, no) - 1) * 1.0 / any_value(n) * 8) + 1, 8) AS low_time_bucket,
+    CASE WHEN first(no ORDER BY high DESC, no) < first(no ORDER BY low, no) THEN 1.0 ELSE 0.0 END AS high_before_low_flag""",
+)
+add(
+    "running_vwap",
+    lambda s, d: text(I.running_gap(hourly(s, d)).select("code", "datetime", "gap"), "datetime"),
+    f"WITH {PREPARED} SELECT code, strftime(datetime, '%Y-%m-%d %H:%M:%S') AS datetime, gap FROM b2",
+    "gap",
+)
+query(
+    "vwap_crosses",
+    "vwap close_vwap_gap max_vwap_gap mean_abs_vwap_gap vwap_above_ratio vwap_below_ratio vwap_cross_count",
+    """sum(close * volume) / nullif(sum(volume), 0) AS vwap, any_value(last_close) / (sum(close * volume) / nullif(sum(volume), 0)) - 1 AS close_vwap_gap,
+    max(abs(gap)) AS max_vwap_gap, avg(abs(gap)) AS mean_abs_vwap_gap, avg(CASE WHEN gap > 0 THEN 1.0 ELSE 0.0 END) FILTER (gap IS NOT NULL) AS vwap_above_ratio,
+    avg(CASE WHEN gap < 0 THEN 1.0 ELSE 0.0 END) FILTER (gap IS NOT NULL) AS vwap_below_ratio, coalesce(sum(crossed), 0) AS vwap_cross_count""",
+)
+_REGIME = " ".join(f"open{w}_{k}" for w in (6, 12) for k in ("low_return", "negative_vwap_ratio", "vwap_cross_count", "vwap_dominant_side_ratio"))
+query(
+    "opening_vwap_regime",
+    _REGIME,
+    ", ".join(
+        f"""min(low) FILTER ({_head(w)}) / any_value(first_open) - 1 AS open{w}_low_return,
+    avg(CASE WHEN gap < 0 THEN 1.0 ELSE 0.0 END) FILTER ({_head(w)} AND gap IS NOT NULL) AS open{w}_negative_vwap_ratio,
+    coalesce(sum(crossed) FILTER ({_head(w)}), 0) AS open{w}_vwap_cross_count,
+    greatest(avg(CASE WHEN gap < 0 THEN 1.0 ELSE 0.0 END) FILTER ({_head(w)} AND gap IS NOT NULL), avg(CASE WHEN gap > 0 THEN 1.0 ELSE 0.0 END) FILTER ({_head(w)} AND gap IS NOT NULL)) AS open{w}_vwap_dominant_side_ratio"""
+        for w in (6, 12)
+    ),
+)
+query("vwap_reversion_events", "reversion_count_after_large_deviation", "sum(reverted) AS reversion_count_after_large_deviation")
+query(
+    "volatility_path",
+    "realized_volatility tail_volatility range_first_half range_second_half",
+    """sqrt(sum(log_return * log_return)) AS realized_volatility, stddev_pop(log_return) FILTER (no > n - 6) * sqrt(least(6, any_value(n))) AS tail_volatility,
+    max(high) FILTER (no <= n // 2) / min(low) FILTER (no <= n // 2) - 1 AS range_first_half, max(high) FILTER (no > n // 2) / min(low) FILTER (no > n // 2) - 1 AS range_second_half""",
+)
+query("drawdown_runup", "max_drawdown_intraday max_runup_intraday", "max(1 - close / top) AS max_drawdown_intraday, max(close / bottom - 1) AS max_runup_intraday")
+query(
+    "volume_ratios",
+    "opening_volume_ratio opening_volume_shock opening_breakout_strength early_volume_ratio midday_volume_ratio last_volume_ratio",
+    f"""sum(volume) FILTER ({_head(4)}) / nullif(sum(volume), 0) AS opening_volume_ratio, sum(volume) FILTER ({_head(4)}) / 4 / nullif(sum(volume) / any_value(n), 0) AS opening_volume_shock,
+    (any_value(close) FILTER (no = 4) - any_value(first_open)) / nullif(any_value(day_high) - any_value(day_low), 0) AS opening_breakout_strength,
+    coalesce(sum(volume) FILTER ({_head(6)}), 0) / nullif(sum(volume), 0) AS early_volume_ratio,
+    coalesce(sum(volume) FILTER (n > 12 AND no > 6 AND no <= n - 6), 0) / nullif(sum(volume), 0) AS midday_volume_ratio,
+    coalesce(sum(volume) FILTER (no > n - 6 AND n >= 6), 0) / nullif(sum(volume), 0) AS last_volume_ratio""",
+)
+query(
+    "volume_spikes",
+    "volume_spike_count volume_zscore_close zero_volume_bar_ratio",
+    """coalesce(sum(CASE WHEN volume > typical_volume * 3 THEN 1.0 ELSE 0.0 END), 0) AS volume_spike_count,
+    CASE WHEN stddev_pop(volume) FILTER (volume > 0) > 0 THEN (any_value(last_volume) - avg(volume) FILTER (volume > 0)) / stddev_pop(volume) FILTER (volume > 0)
+      WHEN count(*) FILTER (volume > 0) > 0 THEN 0 END AS volume_zscore_close, avg(CASE WHEN volume = 0 THEN 1.0 ELSE 0.0 END) AS zero_volume_bar_ratio""",
+)
+query("amihud", "amihud_mean amihud_p90", "avg(illiquidity) AS amihud_mean, quantile_cont(illiquidity, 0.9) AS amihud_p90")
+query(
+    "proxy_ofi",
+    "proxy_ofi_sum proxy_ofi_mean proxy_ofi_persistence",
+    """sum(ofi) AS proxy_ofi_sum, avg(ofi) AS proxy_ofi_mean,
+    avg(CASE WHEN sign(ofi) = ofi_sign THEN 1.0 ELSE 0.0 END) FILTER (ofi <> 0 AND ofi_sign <> 0) AS proxy_ofi_persistence""",
+)
+query(
+    "close_recovery",
+    "close_recovery_ratio",
+    """CASE WHEN any_value(first_open) - min(low) FILTER (no <= 12) > 0
+      THEN (any_value(last_close) - min(low) FILTER (no <= 12)) / (any_value(first_open) - min(low) FILTER (no <= 12)) ELSE 1 END AS close_recovery_ratio""",
+)
+add(
+    "volume_profile",
+    lambda s, d: features(s, d).select("code", "date", "volume_profile_skewness", "volume_profile_kurtosis"),
+    f"""WITH {PREPARED}, p AS (SELECT code, date, bin, sum(volume) AS w, any_value(day_low) + (any_value(day_high) - any_value(day_low)) / 10 * (bin - 0.5::DOUBLE) AS x
+      FROM b2 WHERE bin IS NOT NULL AND volume > 0 GROUP BY code, date, bin),
+      m AS (SELECT code, date, sum(w * x) / sum(w) AS mu, count(*) AS k FROM p GROUP BY code, date),
+      v AS (SELECT code, date, any_value(k) AS k, sum(w * (x - mu) ** 2) / sum(w) AS m2, sum(w * (x - mu) ** 3) / sum(w) AS m3, sum(w * (x - mu) ** 4) / sum(w) AS m4
+        FROM p JOIN m USING (code, date) GROUP BY code, date)
+      SELECT g.code, g.date, CASE WHEN k >= 2 THEN CASE WHEN m2 <= 0 THEN 0 ELSE m3 / sqrt(m2) ** 3 END END AS volume_profile_skewness,
+        CASE WHEN k >= 2 THEN CASE WHEN m2 <= 0 THEN 0 ELSE m4 / sqrt(m2) ** 4 - 3 END END AS volume_profile_kurtosis
+      FROM (SELECT DISTINCT code, date FROM b2) g LEFT JOIN v USING (code, date)""",
+    "volume_profile_skewness volume_profile_kurtosis",
+)
+_M = "(date_part('hour', datetime) * 60 + date_part('minute', datetime))"
+_CLOCK = {"opening": f"{_M} BETWEEN 565 AND 600", "am": f"{_M} <= 690", "pm": f"{_M} >= 780", "last": f"{_M} BETWEEN 870 AND 900"}
+
+
+def _ret(k: str) -> str:
+    return f"last(close ORDER BY datetime) FILTER ({_CLOCK[k]}) / first(open ORDER BY datetime) FILTER ({_CLOCK[k]}) - 1"
+
+
+add(
+    "clock_features",
+    lambda s, d: I.clock_features(hourly(s, d)),
+    f"""WITH {BARS} SELECT code, date, {_ret('opening')} AS open30_return, max(high) FILTER ({_CLOCK['opening']}) / min(low) FILTER ({_CLOCK['opening']}) - 1 AS open30_range,
+      {_ret('am')} AS am_return, {_ret('pm')} AS pm_return, {_ret('last')} AS last30_return, sum(amount) / nullif(sum(volume), 0) AS vwap,
+      last(close ORDER BY datetime) / nullif(sum(amount) / nullif(sum(volume), 0), 0) - 1 AS close_vwap_gap, sum(volume) FILTER ({_CLOCK['opening']}) / nullif(sum(volume), 0) AS open30_volume_ratio,
+      sum(amount) FILTER ({_CLOCK['opening']}) / nullif(sum(amount), 0) AS open30_amount_ratio,
+      CASE WHEN max(high) FILTER ({_CLOCK['am']}) > max(high) FILTER ({_CLOCK['opening']}) THEN 1.0 ELSE 0.0 END AS morning_high_break,
+      CASE WHEN min(low) FILTER ({_CLOCK['pm']}) < min(low) FILTER ({_CLOCK['am']}) THEN 1.0 ELSE 0.0 END AS afternoon_low_break FROM bars GROUP BY code, date""",
+    "open30_return open30_range am_return pm_return last30_return vwap close_vwap_gap open30_volume_ratio open30_amount_ratio morning_high_break afternoon_low_break",
+)
+
+
+def regimes(s, d):
+    """Features with the step of the day and the regime flags."""
+    days = hourly(s, d).groupBy("code", "date").agg(F.max("high").alias("high"), F.min("low").alias("low"), F.max_by("close", "datetime").alias("close"))
+    step = D.grid_step(days).select("code", "date", "grid_step_pct")
+    return I.regime(features(s, d).join(step, ["code", "date"]), HOURLY, HOURLY_LABELS)
+
+
+_FLAGS = "flag_deep_selloff flag_negative_vwap_persistent flag_poor_recovery flag_weak_opening flag_heavy_opening flag_close_weak"
+_MORE = "hostile_soft_score flag_hostile_regime flag_reversion_failure flag_large_vwap_deviation flag_large_drawdown flag_afternoon_reversal flag_strong_tail"
+_D = "PARTITION BY code ORDER BY date"
+
+
+def _one(cond: str, name: str) -> str:
+    return f"CASE WHEN {cond} THEN 1.0 ELSE 0.0 END AS {name}"
+
+
+REGIME = PREPARED + f""", f0 AS (
+  SELECT code, date, any_value(n) AS n, any_value(day_high) AS high, any_value(day_low) AS low, any_value(last_close) AS close, any_value(first_open) AS first_open,
+    min(low) FILTER ({_head(12)}) / any_value(first_open) - 1 AS low_return, avg(CASE WHEN gap < 0 THEN 1.0 ELSE 0.0 END) FILTER ({_head(12)} AND gap IS NOT NULL) AS negative,
+    min(low) FILTER (no <= 12) AS hour_low, any_value(close) FILTER (no = 4) / any_value(first_open) - 1 AS opening, sum(volume) FILTER ({_head(4)}) / nullif(sum(volume), 0) AS heavy,
+    first(no ORDER BY low, no) AS low_no, max(abs(gap)) AS max_gap, sum(reverted) AS reverted, max(1 - close / top) AS drawdown,
+    any_value(close) FILTER (no = least(12, n)) / any_value(first_open) - 1 AS am, any_value(last_close) / any_value(open) FILTER (no = 13) - 1 AS pm,
+    any_value(last_close) / any_value(open) FILTER (no = n - 5 AND n >= 6) - 1 AS tail FROM b2 GROUP BY code, date),
+f1 AS (SELECT *, greatest(high - low, abs(high - lag(close) OVER ({_D})), abs(low - lag(close) OVER ({_D}))) AS tr FROM f0),
+f2 AS (SELECT *, coalesce(CASE WHEN count(tr) OVER ({_D} ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) >= 5 THEN avg(tr) OVER ({_D} ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) END, avg(tr) OVER ({_D})) AS atr FROM f1),
+f3 AS (SELECT *, greatest(0.015, 1.4 * least(greatest(atr / close * 0.4, 0.008), 0.035)) AS least_drop,
+    CASE WHEN first_open > hour_low THEN (close - hour_low) / (first_open - hour_low) ELSE 1 END AS recovery FROM f2),
+f4 AS (SELECT *, {_one('low_return <= -least_drop', 'flag_deep_selloff')}, {_one('negative >= 0.68', 'flag_negative_vwap_persistent')}, {_one('recovery <= 0.55', 'flag_poor_recovery')},
+    {_one('opening <= -0.006', 'flag_weak_opening')}, {_one('heavy >= 0.08', 'flag_heavy_opening')}, {_one('close / first_open - 1 <= -0.008', 'flag_close_weak')},
+    {_one('low_no - 1 < least(12, n)', 'early_low')} FROM f3),
+regime AS (SELECT code, date, {_FLAGS.replace(' ', ', ')}, early_low + {_FLAGS.replace(' ', ' + ')} AS hostile_soft_score,
+    {_one(f"early_low + {_FLAGS.replace(' ', ' + ')} >= 6", 'flag_hostile_regime')}, {_one('max_gap >= 0.01 AND reverted <= 0 AND negative >= 0.68', 'flag_reversion_failure')},
+    {_one('max_gap >= 0.01', 'flag_large_vwap_deviation')}, {_one('drawdown >= 0.02', 'flag_large_drawdown')}, {_one('am <= -0.01 AND pm >= 0.01', 'flag_afternoon_reversal')}, {_one('tail >= 0.01', 'flag_strong_tail')} FROM f4)"""
+add("hostile_regime_score", lambda s, d: regimes(s, d).select("code", "date", *(_FLAGS + " " + _MORE).split()), f"WITH {REGIME} SELECT * FROM regime", _FLAGS + " " + _MORE)
+_R = [f for f in (_FLAGS + " " + _MORE).split() if f.startswith("flag")]
+add(
+    "regime_rates",
+    lambda s, d: D.rates(regimes(s, d), tuple(_R), (3, 20)).select("code", "date", *(f"{f}_rate_{n}d" for f in _R for n in (3, 20))),
+    f"WITH {REGIME} SELECT code, date, " + ", ".join(f"avg({f}) OVER ({_D} ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW) AS {f}_rate_{n}d" for f in _R for n in (3, 20)) + " FROM regime",
+    " ".join(f"{f}_rate_{n}d" for f in _R for n in (3, 20)),
+)
