@@ -255,6 +255,18 @@ def sets_of(docs: DataFrame, firsts: DataFrame) -> DataFrame:
     return materialize(arrow_map(texts(docs), run, "key long, first long, set binary"), "sets")
 
 
+def _more_sets(docs: DataFrame, pairs: DataFrame, sets: DataFrame | None) -> DataFrame:
+    """sets with those that pairs need and that are not there yet; a scan only if there are any."""
+    firsts = pairs.select(F.col("first_a").alias("first")).unionByName(pairs.select(F.col("first_b").alias("first"))).distinct()
+    if sets is None:
+        return sets_of(docs, firsts)
+    new = materialize(firsts.join(sets.select("first").distinct(), "first", "left_anti"), "missing")
+    if new.isEmpty():
+        return sets
+    # what the bitmap lets through by chance may be there already
+    return sets.unionByName(sets_of(docs, new).join(new, "first", "left_semi"))
+
+
 def _fits(x: str, y: str):
     """Length and positional filter for two entries of one token."""
     n = lambda s: F.col(f"{s}.n")
@@ -314,6 +326,10 @@ def suffix_filter(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 
 def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Rows (a, b, linked), written; each pair once, on the whole sets."""
+    # only sets that a pair names are shuffled: found by a broadcast of at most 2 ** BUCKET_BITS slots
+    slot = F.pmod(F.col("first"), F.lit(1 << BUCKET_BITS)).alias("slot")
+    named = pairs.select(F.col("first_a").alias("first")).unionByName(pairs.select(F.col("first_b").alias("first"))).select(slot).distinct()
+    sets = sets.withColumn("slot", slot).join(F.broadcast(named), "slot", "left_semi")
     side = lambda x, as_: sets.select(F.col("key").alias(x), F.col("first").alias(f"first_{x}"), F.col("set").alias(as_))
 
     def run(batches):
@@ -363,13 +379,14 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tup
     rows, counts = document_rows(docs)
     entries = shared_entries(docs, counts)
     classes = materialize(rows.filter("n > 0").groupBy("key").agg(F.min("doc_id").alias("first"), F.first("n").alias("n"), F.first("sig").alias("sig")), "classes")
-    sets = sets_of(docs, classes.join(entries.select("key").distinct(), "key", "left_semi"))
-    components = done = None
+    sets = components = done = None
     for turn in range(PIVOT_ROUNDS + 1):
         pairs = pivot_pairs(entries, components, turn) if turn < PIVOT_ROUNDS else crossing_pairs(entries, components)
         if done is not None:
             pairs = pairs.join(done.select("a", "b"), ["a", "b"], "left_anti")
-        found = verify(suffix_filter(pairs, classes), sets)
+        pairs = materialize(suffix_filter(pairs, classes), "pairs")
+        sets = _more_sets(docs, pairs, sets)
+        found = verify(pairs, sets)
         components = components_of(found.filter("linked"), components)
         done = found if done is None else done.unionByName(found)
     named = classes.join(components, "key").groupBy("comp").agg(F.min("first").alias("component_id"))
