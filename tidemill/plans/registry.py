@@ -31,4 +31,4 @@ def add(name: str, fn: Callable[[SparkSession, str], DataFrame], sql: str | None
         ORACLES[name] = f"SELECT *{rounded} FROM ({sql}) AS q"
 
 
-from . import decision, evaluation, foundation, intraday, labels  # noqa: E402, F401
+from . import decision, evaluation, extension, foundation, intraday, labels  # noqa: E402, F401
