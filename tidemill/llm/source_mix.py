@@ -130,7 +130,11 @@ def schedule(sources: DataFrame, block_words: int) -> DataFrame:
 
 
 def remix(docs: DataFrame, **options) -> DataFrame:
-    """docs as the mix takes them: each row as often as the mix takes its words, rounded; all columns."""
+    """docs as the mix takes them: each row as often as the mix takes its words, rounded; all columns.
+
+    docs is read twice and its rows are told apart by their place, so it must come from stored files, as the
+    documents table and the stages of the pipeline do, or from another source that repeats its partitions.
+    """
     options = {"id_col": "doc_id", "text_col": "text", "source_col": "source"} | options
     numbered = docs.withColumn("_rid", F.monotonically_increasing_id())
     taken = mix(docs, **options).filter("size > 0").select(F.col("rid").alias("_rid"), F.round(F.col("taken") / F.col("size")).cast("int").alias("_times"))
