@@ -152,3 +152,13 @@ def missing_ratio(df: DataFrame, limit: int = 20) -> DataFrame:
 
 def bars_per_day(bars: DataFrame) -> DataFrame:
     return bars.groupBy("code", "date").agg(F.count("*").alias("n")).groupBy("code").agg(F.avg("n").alias("mean_bars"), F.min("n").alias("min_bars"), F.max("n").alias("max_bars"))
+
+
+def patch_zero_open(df: DataFrame) -> DataFrame:
+    """An open of exactly zero is the close."""
+    return df.withColumn("open", F.when(F.col("open") == 0, F.col("close")).otherwise(F.col("open")))
+
+
+def sum_or_missing(c: str) -> Column:
+    """A sum that is missing where no value is there; the daily summary's own sums are 0 then."""
+    return F.sum(c)

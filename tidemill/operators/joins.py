@@ -128,3 +128,11 @@ def freshest(sources: DataFrame, expected) -> DataFrame:
         F.struct(F.lit(0).alias("f"), F.col("last_date").alias("d"), (-F.col("priority")).alias("p"))
     )
     return ranked.agg(F.max_by(F.struct("priority", "last_date", "is_fresh"), key).alias("s")).select("s.*")
+
+
+def best_name_match(names: DataFrame, column: str, keywords: tuple[str, ...]) -> DataFrame:
+    """For each keyword the name that holds it best: equal, then at an end, then within; then the shorter, then the later name."""
+    n, k = F.col(column), F.col("keyword")
+    rank = F.when(n == k, 4).when(n.startswith(k) | n.endswith(k), 3).otherwise(2)
+    held = names.select(column, F.explode(F.array(*(F.lit(w) for w in keywords))).alias("keyword")).filter(n.contains(k))
+    return held.groupBy("keyword").agg(F.max_by(column, F.struct(rank.alias("r"), (-F.length(n)).alias("l"), n.alias("n"))).alias("name"), F.count("*").alias("n_candidates"))

@@ -319,3 +319,18 @@ add(
       SELECT priority, last_date, last_date >= DATE '1998-01-01' AS is_fresh FROM p
       ORDER BY is_fresh DESC, CASE WHEN is_fresh THEN NULL ELSE last_date END DESC, priority LIMIT 1""",
 )
+_WORDS = ("NATION_1", "_2", "ON", "7")
+add(
+    "board_name_match",
+    lambda s, d: J.best_name_match(S.table(s, d, "nation"), "n_name", _WORDS),
+    """WITH k AS (SELECT unnest(['NATION_1', '_2', 'ON', '7']) AS keyword),
+      h AS (SELECT keyword, n_name, CASE WHEN n_name = keyword THEN 4 WHEN starts_with(n_name, keyword) OR suffix(n_name, keyword) THEN 3 ELSE 2 END AS r FROM nation, k WHERE contains(n_name, keyword))
+      SELECT keyword, first(n_name ORDER BY r DESC, length(n_name), n_name DESC) AS name, count(*) AS n_candidates FROM h GROUP BY keyword""",
+)
+add("zero_open_patch", lambda s, d: text(B.patch_zero_open(dirty(s, d)).select("code", "seq", "open")), f"WITH {DIRTY} SELECT code, seq, CASE WHEN open = 0 THEN close ELSE open END AS open FROM dirty", "open")
+add(
+    "sum_min_count",
+    lambda s, d: S.order_days(s, d).withColumn("x", F.when(F.col("volume") > 1, F.col("amount"))).groupBy("code", "date").agg(B.sum_or_missing("x").alias("amount_sum"), F.coalesce(B.sum_or_missing("x"), F.lit(0.0)).alias("amount_sum_or_zero")),
+    f"WITH {SERIES} SELECT code, date, sum(CASE WHEN volume > 1 THEN amount END) AS amount_sum, coalesce(sum(CASE WHEN volume > 1 THEN amount END), 0) AS amount_sum_or_zero FROM series GROUP BY code, date",
+    "amount_sum amount_sum_or_zero",
+)
