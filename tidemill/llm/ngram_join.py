@@ -13,6 +13,8 @@ Prefix.  A set of n shingles is indexed by its first ``n - ceil(0.8 n) + 1``; li
 share one of these.  One shuffle by shingle leaves the entries whose shingle is shared.
 Shingles in very common buckets skip it, so none gathers in one task.
 
+Pairs between components are looked for with further bounds in the join itself, see ``crossing_pairs``.
+
 Pairs pass the length filter, the positional filter (what is left behind the places of a
 shared shingle must suffice) and a suffix filter: counts of both sets over ``PARTS``
 fixed parts of the hash space bound their Hamming distance from below, as partitioning
@@ -46,6 +48,7 @@ from .base import arrow_map, bound_batches, materialize, read_table, texts
 BUCKET_BITS = 20
 SLICES = 16
 PARTS = 64
+LONGS = 8
 PIVOT_ROUNDS = 2
 #: Entries of shingles in buckets this full are taken to be shared without a look.
 COMMON = 50_000
@@ -103,6 +106,15 @@ def signature(s: np.ndarray) -> bytes:
     return np.minimum(np.bincount(parts, minlength=PARTS), 65535).astype("<u2").tobytes()
 
 
+def parity(s: np.ndarray) -> list[int]:
+    """Whether each of 64 * LONGS parts of the hash space holds an odd number of shingles, as bits of LONGS integers.
+
+    Two sets differ by at least as many shingles as such bits.
+    """
+    odd = np.bincount(((s >> _U(20)) & _U(64 * LONGS - 1)).astype(np.int64), minlength=64 * LONGS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()
+
+
 def prefix(s: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The prefix in the shared order, and the bucket counts of its shingles."""
     own = counts[buckets(s)]
@@ -138,15 +150,16 @@ def document_rows(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
                 "n": [len(s) for s in sets],
                 "key": [class_key(s) if z else None for s, z in zip(sets, some)],
                 "sig": [signature(s) if z else None for s, z in zip(sets, some)],
+                "odd": [parity(s) if z else None for s, z in zip(sets, some)],
                 "slice": [None] * len(sets),
                 "counts": [None] * len(sets),
             }
         if counts.any():
             parts = [zlib.compress(counts[i * size : (i + 1) * size].astype("<u4").tobytes(), 1) for i in range(SLICES)]
             none = [None] * SLICES
-            yield {"doc_id": none, "n": none, "key": none, "sig": none, "slice": list(range(SLICES)), "counts": parts}
+            yield {"doc_id": none, "n": none, "key": none, "sig": none, "odd": none, "slice": list(range(SLICES)), "counts": parts}
 
-    rows = materialize(arrow_map(texts(docs), run, "doc_id long, n long, key long, sig binary, slice int, counts binary"), "shingled")
+    rows = materialize(arrow_map(texts(docs), run, "doc_id long, n long, key long, sig binary, odd array<long>, slice int, counts binary"), "shingled")
 
     def add(batches):
         totals: dict[int, np.ndarray] = {}
@@ -276,6 +289,14 @@ def _fits(x: str, y: str):
     return length & (most * 9 >= (n(x) + n(y)) * 4)
 
 
+def _close(x: str, y: str):
+    """First shared shingle in both pair prefixes (every linked pair has one there), and few enough odd parts."""
+    both = F.col(f"{x}.n") + F.col(f"{y}.n")
+    early = [(F.col(f"{s}.n") - F.col(f"{s}.pos")) * 9 >= both * 4 for s in (x, y)]
+    apart = sum((F.bit_count(F.col(f"{x}.odd")[i].bitwiseXOR(F.col(f"{y}.odd")[i])) for i in range(LONGS)), F.lit(0))
+    return early[0] & early[1] & ((both - apart) * 9 >= both * 8)  # (both - apart) / 2 bounds the intersection
+
+
 def _with_components(entries: DataFrame, components: DataFrame | None) -> DataFrame:
     if components is None:
         return entries.withColumn("comp", F.col("key"))
@@ -293,18 +314,21 @@ def pivot_pairs(entries: DataFrame, components: DataFrame | None, turn: int) ->
     return best.select(F.least("key", "other").alias("a"), F.greatest("key", "other").alias("b")).distinct()
 
 
-def crossing_pairs(entries: DataFrame, components: DataFrame | None) -> DataFrame:
+def crossing_pairs(entries: DataFrame, components: DataFrame | None, classes: DataFrame) -> DataFrame:
     """All candidate pairs (a, b) between components.
 
-    In a token's list, the entries outside its largest component meet all entries of other components.
+    In a token's list, the entries outside its largest component meet all entries of other components; within the
+    join, a pair must fit by length and place, its first shared shingle must lie in the prefix that the pair's own
+    sizes need, and the parity bits must not differ too often.
     """
     at = _with_components(entries, components)
     sizes = at.groupBy("token", "comp").agg(F.count("*").alias("c"))
     lists = sizes.groupBy("token").agg(F.max_by("comp", F.struct("c", "comp")).alias("top"), F.count("*").alias("k")).filter("k > 1").select("token", "top")
-    at = materialize(at.join(lists, "token"), "open_lists")
+    at = at.join(lists, "token").join(classes.select("key", "odd"), "key")
+    at = materialize(at, "open_lists")
     few, every = at.filter("comp != top").alias("x"), at.alias("y")
     met = few.join(every, F.col("x.token") == F.col("y.token")).filter(
-        (F.col("x.comp") != F.col("y.comp")) & ((F.col("y.comp") == F.col("y.top")) | (F.col("x.key") < F.col("y.key"))) & _fits("x", "y")
+        (F.col("x.comp") != F.col("y.comp")) & ((F.col("y.comp") == F.col("y.top")) | (F.col("x.key") < F.col("y.key"))) & _fits("x", "y") & _close("x", "y")
     )
     return met.select(F.least("x.key", "y.key").alias("a"), F.greatest("x.key", "y.key").alias("b")).distinct()
 
@@ -378,10 +402,10 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tup
     docs = texts(docs, id_col, text_col)
     rows, counts = document_rows(docs)
     entries = shared_entries(docs, counts)
-    classes = materialize(rows.filter("n > 0").groupBy("key").agg(F.min("doc_id").alias("first"), F.first("n").alias("n"), F.first("sig").alias("sig")), "classes")
+    classes = materialize(rows.filter("n > 0").groupBy("key").agg(F.min("doc_id").alias("first"), F.first("n").alias("n"), F.first("sig").alias("sig"), F.first("odd").alias("odd")), "classes")
     sets = components = done = None
     for turn in range(PIVOT_ROUNDS + 1):
-        pairs = pivot_pairs(entries, components, turn) if turn < PIVOT_ROUNDS else crossing_pairs(entries, components)
+        pairs = pivot_pairs(entries, components, turn) if turn < PIVOT_ROUNDS else crossing_pairs(entries, components, classes)
         if done is not None:
             pairs = pairs.join(done.select("a", "b"), ["a", "b"], "left_anti")
         pairs = materialize(suffix_filter(pairs, classes), "pairs")
