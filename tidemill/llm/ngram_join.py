@@ -48,7 +48,7 @@ from .base import arrow_map, bound_batches, materialize, read_table, texts
 BUCKET_BITS = 20
 SLICES = 16
 PARTS = 64
-LONGS = 8
+LONGS = 4
 PIVOT_ROUNDS = 2
 #: Entries of shingles in buckets this full are taken to be shared without a look.
 COMMON = 50_000
@@ -200,7 +200,8 @@ def shared_entries(docs: DataFrame, counts: np.ndarray) -> DataFrame:
                 if len(at):
                     tokens.append(p[at].view(np.int64))
                     keys.append(np.full(len(at), key))
-                    places.append((len(s) << 31) + at)
+                    end = min(511, int(8 * np.log2(own[-1] + 1)))  # how common the prefix's last shingle is, roughly
+                    places.append((end << 54) + (len(s) << 26) + at)
                     common.append(own[at] >= COMMON)
             if tokens:
                 yield {"token": np.concatenate(tokens), "key": np.concatenate(keys), "place": np.concatenate(places), "common": np.concatenate(common)}
@@ -239,7 +240,9 @@ def shared_entries(docs: DataFrame, counts: np.ndarray) -> DataFrame:
         rare = dealt.filter("salt < 0").select("token", "key", "place").mapInArrow(shared, narrow)
         common = dealt.filter("salt >= 0").select("token", "key", "place")
         out = materialize(rare.unionByName(common) if (counts >= COMMON).any() else rare, "entries")
-    return out.select("token", "key", F.shiftright("place", 31).alias("n"), F.expr("place & 2147483647").alias("pos"))
+    return out.select(
+        "token", "key", F.expr("shiftright(place, 26) & 268435455").alias("n"), F.expr("place & 67108863").alias("pos"), F.shiftright("place", 54).cast("int").alias("end")
+    )
 
 
 def sets_of(docs: DataFrame, firsts: DataFrame) -> DataFrame:
@@ -289,12 +292,27 @@ def _fits(x: str, y: str):
     return length & (most * 9 >= (n(x) + n(y)) * 4)
 
 
+def _bounds(entries: DataFrame, classes: DataFrame) -> DataFrame:
+    """Rows (key, most, odd): most is the size without the prefix shingles that no other prefix holds."""
+    held = entries.groupBy("key").agg(F.countDistinct("token").alias("held"))
+    n = F.col("n")
+    length = n - F.floor((8 * n + 9) / 10) + 1
+    return classes.join(held, "key").select("key", (n - length + F.col("held")).cast("long").alias("most"), "odd")
+
+
 def _close(x: str, y: str):
-    """First shared shingle in both pair prefixes (every linked pair has one there), and few enough odd parts."""
+    """First shared shingle in both pair prefixes (every linked pair has one there), enough shingles left, few odd parts.
+
+    A prefix shingle of x that no other prefix holds can only be in y behind the end of y's prefix; if x's prefix
+    ends first in the shared order, it is not in y at all. So the intersection is at most the ``most`` of the one
+    that ends first, or the larger one where the rough ends are the same.
+    """
     both = F.col(f"{x}.n") + F.col(f"{y}.n")
     early = [(F.col(f"{s}.n") - F.col(f"{s}.pos")) * 9 >= both * 4 for s in (x, y)]
     apart = sum((F.bit_count(F.col(f"{x}.odd")[i].bitwiseXOR(F.col(f"{y}.odd")[i])) for i in range(LONGS)), F.lit(0))
-    return early[0] & early[1] & ((both - apart) * 9 >= both * 8)  # (both - apart) / 2 bounds the intersection
+    left = F.when(F.col(f"{x}.end") < F.col(f"{y}.end"), F.col(f"{x}.most")).when(F.col(f"{x}.end") > F.col(f"{y}.end"), F.col(f"{y}.most"))
+    left = left.otherwise(F.greatest(f"{x}.most", f"{y}.most"))
+    return early[0] & early[1] & (left * 9 >= both * 4) & ((both - apart) * 9 >= both * 8)  # (both - apart) / 2 bounds the intersection
 
 
 def _with_components(entries: DataFrame, components: DataFrame | None) -> DataFrame:
@@ -324,7 +342,7 @@ def crossing_pairs(entries: DataFrame, components: DataFrame | None, classes: Da
     at = _with_components(entries, components)
     sizes = at.groupBy("token", "comp").agg(F.count("*").alias("c"))
     lists = sizes.groupBy("token").agg(F.max_by("comp", F.struct("c", "comp")).alias("top"), F.count("*").alias("k")).filter("k > 1").select("token", "top")
-    at = at.join(lists, "token").join(classes.select("key", "odd"), "key")
+    at = at.join(lists, "token").join(_bounds(entries, classes), "key")
     at = materialize(at, "open_lists")
     few, every = at.filter("comp != top").alias("x"), at.alias("y")
     met = few.join(every, F.col("x.token") == F.col("y.token")).filter(
