@@ -324,7 +324,10 @@ def _with_components(entries: DataFrame, components: DataFrame | None) -> DataFr
 def pivot_pairs(entries: DataFrame, components: DataFrame | None, turn: int) -> DataFrame:
     """For each class, the pivot of another component that shares most of its prefix: pairs (a, b), a < b."""
     at = _with_components(entries, components)
-    pivot = F.min_by(F.struct("key", "n", "pos", "comp"), F.xxhash64("key", F.lit(turn))).alias("p")
+    chance = F.xxhash64("key", F.lit(turn))
+    # a near copy with few changes has few rare shingles before the shared ones: it is the one that most others are near to
+    order = F.struct("pos", chance.alias("chance")) if turn == 0 else chance
+    pivot = F.min_by(F.struct("key", "n", "pos", "comp"), order).alias("p")
     pivots = at.groupBy("token").agg(pivot, F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("token", "p")
     met = at.join(pivots, "token").filter("comp != p.comp").withColumn("x", F.struct("key", "n", "pos")).filter(_fits("x", "p"))
     met = met.groupBy(F.col("key"), F.col("p.key").alias("other")).agg(F.count("*").alias("c"))
