@@ -6,10 +6,14 @@ Trees are Spark ML's; missing features are imputed by their median and flagged.
 from __future__ import annotations
 
 import json
+import math
 import shutil
+import tempfile
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 from pathlib import Path
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import Imputer, VectorAssembler
@@ -25,6 +29,8 @@ from .evaluate import choose_threshold
 #: Columns that look ahead begin with one of these.
 AHEAD = ("next_", "target_", "replay_")
 KEYS = ("code", "date", "next_date", "row_idx", "part")
+#: Rows of a partition in training: a tree takes a job for each level, whose tasks should not be shorter than their start.
+PARTITION_ROWS = 50_000
 
 
 @dataclass(frozen=True)
@@ -74,19 +80,41 @@ class Head:
     kind: str
 
 
+def _cut_lineage(spark: SparkSession) -> None:
+    """Boosting cuts its lineage every ten trees only where there is a folder for checkpoints; a local one where none is set."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="tidemill-"))
+
+
 def fit_regressor(df: DataFrame, columns: tuple[str, ...], target: str, c: TreeConfig = TreeConfig()) -> Head:
+    _cut_lineage(df.sparkSession)
     tree = GBTRegressor(labelCol=target, maxDepth=c.depth, stepSize=c.rate, maxIter=c.trees, subsamplingRate=c.sample, featureSubsetStrategy=c.columns, seed=c.seed)
     return Head(_pipeline(tree, columns).fit(_prepared(df, columns)), tuple(columns), target, "regression")
 
 
 def fit_classifier(df: DataFrame, columns: tuple[str, ...], target: str, c: TreeConfig = TreeConfig()) -> Head:
     """Positives weigh as many times as there are more negatives, at least once."""
+    _cut_lineage(df.sparkSession)
     pos, neg = df.agg(F.count_if(F.col(target) == 1), F.count_if(F.col(target) == 0)).first()
     weight = max(1.0, neg / pos) if pos else 1.0
     tree = GBTClassifier(labelCol=target, weightCol="_w", maxDepth=c.depth, stepSize=c.rate, maxIter=c.trees, subsamplingRate=c.sample, featureSubsetStrategy=c.columns, seed=c.seed)
     return Head(_pipeline(tree, columns).fit(_prepared(df, columns).withColumn("_w", F.when(F.col(target) == 1, weight).otherwise(1.0))), tuple(columns), target, "classification")
 
 
+def fit_heads(df: DataFrame, columns: tuple[str, ...], targets: dict[str, tuple[str, str]], order: tuple[str, ...], c: TreeConfig = TreeConfig()) -> dict[str, Head]:
+    """All heads, side by side over the same stored rows. targets: by head its kind and target; order: a key of the rows, so that samples repeat.
+
+    The rows are checkpointed, as each of some thousand jobs describes the whole lineage of its input to the driver.
+    """
+    _cut_lineage(df.sparkSession)
+    rows = df.select(*dict.fromkeys([*order, *columns, *(t for _, t in targets.values())])).checkpoint()
+    rows = rows.coalesce(math.ceil(rows.count() / PARTITION_ROWS) or 1).sortWithinPartitions(*order).checkpoint()
+    fits = {"regression": fit_regressor, "classification": fit_classifier}
+    one = inheritable_thread_target(df.sparkSession)(lambda target: fits[target[0]](rows, columns, target[1], c))
+    with ThreadPool(len(targets)) as pool:
+        return dict(zip(targets, pool.map(one, targets.values(), 1)))
+
+
 def predict(head: Head, df: DataFrame, name: str) -> DataFrame:
     out = head.model.transform(_prepared(df, head.columns))
     value = vector_to_array("probability")[1] if head.kind == "classification" else F.col("prediction")

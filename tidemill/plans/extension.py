@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..config import HEADS
 from ..operators import daily as D
 from ..operators import heads as H
 from ..streaming import bars as T
@@ -23,7 +24,7 @@ def streamed(s, d):
 add("streaming_bars", streamed, f"WITH {BARS} SELECT code, strftime(datetime, '%Y-%m-%d %H:%M:%S') AS datetime, open, high, low, close, volume, amount, n_ticks FROM bars", _NUMBERS)
 
 FEATURES = ("pred_upside", "pred_downside", "pred_grid_pnl", "pred_tradable", "grid_step_pct")
-SMALL = H.TreeConfig(trees=10)
+TARGETS = {h: ("regression", f"target_{h}") for h in ("upside", "downside", "grid_pnl")} | {h: ("classification", f"target_{h}") for h in HEADS}
 
 
 def _parts(s, d):
@@ -32,16 +33,15 @@ def _parts(s, d):
 
 
 def gbt_scores(s, d):
-    train, test = _parts(s, d)
-    regressor = H.fit_regressor(train, FEATURES, "target_upside", SMALL)
-    classifier = H.fit_classifier(train, FEATURES, "target_tradable", SMALL)
-    out = H.predict(classifier, H.predict(regressor, test, "tree_upside"), "tree_tradable")
-    return out.select("code", "date", "tree_upside", "tree_tradable")
+    train, out = _parts(s, d)
+    for name, head in H.fit_heads(train, FEATURES, TARGETS, ("code", "date")).items():
+        out = H.predict(head, out, f"tree_{name}")
+    return out.select("code", "date", *(f"tree_{h}" for h in TARGETS))
 
 
 def head_importance(s, d):
     train, _ = _parts(s, d)
-    return H.importance(s, {"upside": H.fit_regressor(train, FEATURES, "target_upside", SMALL)}, 30)
+    return H.importance(s, H.fit_heads(train, FEATURES, TARGETS, ("code", "date")), 30)
 
 
 add("gbt_scores", gbt_scores)
