@@ -45,3 +45,14 @@ def test_odd_rows(spark):
     got = tox.predictions(docs, odd).collect()
     assert len(got) == 4 and all(0 <= r.score <= 1 for r in got)
     assert tox.predictions(docs.filter("doc_id > 9"), odd).collect() == []
+
+
+def test_limit_keeps_the_clearest(spark, monkeypatch):
+    # of 40 toxic and 400 clean documents "plain" is in 30 and 60, each rare word in 3 and 4
+    monkeypatch.setattr(tox, "N_FEATURES", 2)
+    rare = lambda k, of: " ".join(f"r{n}" for n in range(30) if (k - n) % of < (3 if of == 40 else 4))
+    toxic = [(k, rare(k, 40) + (" plain" if k < 30 else ""), 1) for k in range(40)]
+    clean = [(100 + k, rare(k, 400) + (" plain" if k < 60 else ""), 0) for k in range(400)]
+    docs = spark.createDataFrame(toxic + clean, "doc_id long, text string, toxic int")
+    model = tox.train(docs.select("doc_id", "text"), docs.select("doc_id", "toxic"))
+    assert model.words["plain"] > 0 and len(model.words.keys() - tox.KIND_OF.keys()) == 2

@@ -28,7 +28,7 @@ from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .base import arrow_map, read_table, texts
@@ -109,6 +109,13 @@ def clearest(counts: list[tuple[str, int, int]], n_pos: int, n_neg: int, limit:
     return [name for _, name in sorted(out)[:limit]]
 
 
+def _clarity(n_pos: int, n_neg: int) -> Column:
+    """The z value of `clearest`, over columns pos and neg."""
+    pos, neg = F.col("pos"), F.col("neg")
+    odds = F.log((pos + 0.5) / (n_pos - pos + 0.5)) - F.log((neg + 0.5) / (n_neg - neg + 0.5))
+    return odds / F.sqrt(1 / (pos + 0.5) + 1 / (neg + 0.5))
+
+
 def fit(rows: list[list[int]], y: np.ndarray, pairs: list[tuple[list[int], list[int]]], n: int, penalty: float = PENALTY, ridge: float = RIDGE, steps: int = STEPS) -> tuple[np.ndarray, float]:
     """Weights and bias. rows: feature numbers of each document; pairs: those of its two counterfactual versions."""
     x, a, b = (_Sparse(r, n) for r in (rows, [p for p, _ in pairs], [q for _, q in pairs]))
@@ -150,6 +157,9 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", fit_rows
     usable = labels.filter(F.col(label_col).isin(0, 1)).select("doc_id", F.col(label_col).cast("int").alias("label")).dropna()
     chosen = usable.orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(fit_rows)
     rows = texts(docs).join(F.broadcast(chosen), "doc_id")
+    n_pos, n_neg = rows.agg(F.count_if(F.col("label") == 1), F.count_if(F.col("label") == 0)).first()
+    if not n_pos or not n_neg:
+        return Model({}, ({}, {}), 40.0 if n_pos else -40.0)
 
     def count(batches):
         pos, neg = Counter(), Counter()
@@ -161,7 +171,6 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", fit_rows
         for b in batches:
             for text, label in zip(b["text"], b["label"]):
                 (pos if label else neg).update(features_of(words_of(text)))
-                (pos if label else neg)[""] += 1  # documents
             if len(pos) + len(neg) > 400_000:
                 yield out()
                 pos.clear()
@@ -170,14 +179,8 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", fit_rows
             yield out()
 
     counted = arrow_map(rows, count, "name string, pos long, neg long").groupBy("name").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
-    # the clearest in the sense of `clearest` are among those with the largest share of toxic documents' excess
-    odds = (F.log((F.col("pos") + 0.5) / (F.col("neg") + 0.5))) * F.sqrt(F.col("pos"))
-    top = counted.filter((F.col("pos") >= LEAST_DOCS) | (F.col("name") == "")).orderBy((F.col("name") == "").desc(), odds.desc(), "name").limit(8 * N_FEATURES)
-    counts = sorted((r.name, r.pos, r.neg) for r in top.collect())
-    n_pos, n_neg = next(((p, q) for name, p, q in counts if name == ""), (0, 0))
-    if not n_pos or not n_neg:
-        return Model({}, ({}, {}), 40.0 if n_pos else -40.0)
-    names = clearest([c for c in counts if c[0]], n_pos, n_neg)
+    top = counted.filter(F.col("pos") >= LEAST_DOCS).orderBy(_clarity(n_pos, n_neg).desc(), "name").limit(N_FEATURES)
+    names = clearest(sorted((r.name, r.pos, r.neg) for r in top.collect()), n_pos, n_neg, N_FEATURES)
     number = {name: k for k, name in enumerate(dict.fromkeys([*names, *KIND_OF]))}
 
     def vectors(batches):
