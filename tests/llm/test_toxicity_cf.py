@@ -56,3 +56,9 @@ def test_limit_keeps_the_clearest(spark, monkeypatch):
     docs = spark.createDataFrame(toxic + clean, "doc_id long, text string, toxic int")
     model = tox.train(docs.select("doc_id", "text"), docs.select("doc_id", "toxic"))
     assert model.words["plain"] > 0 and len(model.words.keys() - tox.KIND_OF.keys()) == 2
+
+
+def test_names_of_all_sentences_are_swapped():
+    for pick in range(12):
+        a, b = tox.counterfactual("The women came. Later the women left. A muslim stayed.", pick)
+        assert {"women", "muslim"} <= a and not {"women", "muslim"} & b and a - tox.KIND_OF.keys() == b - tox.KIND_OF.keys()

@@ -1,9 +1,9 @@
 """Toxicity classifier with counterfactual regularisation.
 
 A logistic regression over the presence of words and word beginnings.  In training,
-sentences get counterfactual versions: where a sentence names a group, the name is
-swapped for others of its kind; a sentence that names none gets a neutral mention of one,
-and of another in the second version.  All versions keep their document's label, and the
+documents get counterfactual versions: where sentences name groups, all the names are
+swapped for others of their kind; a document that names none gets a neutral mention of
+one, and of another in the second version.  All versions keep their document's label, and the
 squared difference of the two versions' scores, and of the mention's to the original's,
 is part of the loss.  So naming a group moves no score by itself, which is what makes
 neutral mentions false positives.
@@ -57,7 +57,6 @@ GROUPS = (
 KIND_OF = {name: kind for kind in GROUPS for name in kind}
 
 _WORD = re.compile(r"\w+")
-_SENTENCE = re.compile(r"[^.!?\n]+[.!?\n]*")
 
 
 def words_of(text: str) -> set[str]:
@@ -70,18 +69,14 @@ def features_of(words: set[str]) -> set[str]:
 
 
 def counterfactual(text: str, pick: int) -> tuple[set[str], set[str]]:
-    """The words of two versions of a text: one sentence names a group, in the second version another of its kind."""
-    sentences = _SENTENCE.findall(text) or [text]
-    named = [i for i, s in enumerate(sentences) if any(w in KIND_OF for w in _WORD.findall(s.lower()))]
-    k = named[pick % len(named)] if named else pick % len(sentences)
-    rest = words_of(" ".join(s for i, s in enumerate(sentences) if i != k))
-    own = _WORD.findall(sentences[k].lower())
-    if named:
+    """The words of two versions of a text: where sentences name groups, in the second version all of them name others of their kinds."""
+    words = words_of(text)
+    if words & KIND_OF.keys():
         swap = lambda w: KIND_OF[w][(KIND_OF[w].index(w) + 1 + pick % (len(KIND_OF[w]) - 1)) % len(KIND_OF[w])] if w in KIND_OF else w
-        return rest | set(own), rest | {swap(w) for w in own}
+        return words, {swap(w) for w in words}
     kind = GROUPS[pick % len(GROUPS)]
     a, b = kind[pick % len(kind)], kind[(pick + 1) % len(kind)]
-    return rest | {*own, a}, rest | {*own, b}
+    return words | {a}, words | {b}
 
 
 @dataclass(frozen=True)
