@@ -1,3 +1,7 @@
+import re
+
+import pytest
+
 from tidemill.llm import source_mix
 
 
@@ -26,23 +30,60 @@ def test_targets_and_takes(spark):
     assert again == sorted((r.doc_id, r.taken) for r in got)
 
 
-def test_water_level_by_iteration(spark):
-    sizes = {"a": 10, "b": 100, "c": 7, "d": 500, "e": 1, None: 40}
-    docs = spark.createDataFrame([(s, n) for s, n in sizes.items()], "source string, size long")
-    got = {r.source: r.target for r in source_mix.source_targets(docs).collect()}
-    names = sorted(x for x in sizes if x is not None) + [None]
-    weight = {n: (5, 2, 1)[i % 3] for i, n in enumerate(names)}
-    left, open_, target = 1.5 * sum(sizes.values()), set(names), {}
-    while True:
-        share = {n: left * weight[n] / sum(weight[m] for m in open_) for n in open_}
-        over = {n for n in open_ if share[n] > 2 * sizes[n]}
-        if not over:
+def by_iteration(sizes, weights=(5, 2, 1), share=1.5, limit=2.0):
+    """Targets as the contract words them: share by weight, stop at the limit, share the excess again."""
+    names = sorted(x for x in sizes if x is not None) + [x for x in sizes if x is None]
+    weight = {n: weights[i % len(weights)] for i, n in enumerate(names)}
+    target, excess = dict.fromkeys(names, 0.0), share * sum(sizes.values())
+    while excess > 1e-9:
+        open_ = [n for n in names if target[n] < limit * sizes[n]]
+        if not open_:
             break
-        target |= {n: 2.0 * sizes[n] for n in over}
-        left -= sum(2 * sizes[n] for n in over)
-        open_ -= over
-    target |= share
-    assert all(abs(got[n] - target[n]) < 1e-9 for n in names)
+        total, left = sum(weight[n] for n in open_), excess
+        excess = 0.0
+        for n in open_:
+            target[n] += left * weight[n] / total
+            excess += max(0.0, target[n] - limit * sizes[n])
+            target[n] = min(target[n], limit * sizes[n])
+    return target
+
+
+@pytest.mark.parametrize(
+    "sizes",
+    [
+        {"a": 10, "b": 100, "c": 7, "d": 500, "e": 1, None: 40},
+        {f"s{k:02d}": 1000 + 7 * k for k in range(20)},  # many of like size: most levels lie beyond the first that fits
+        {f"s{k:02d}": (3000 if k == 4 else 90 + k) for k in range(12)} | {None: 5},
+        {"only": 12},
+        {"a": 0, "b": 0},
+        {f"s{k}": 0 if k % 2 else 50 for k in range(9)},
+    ],
+)
+def test_targets_by_iteration(spark, sizes):
+    docs = spark.createDataFrame(list(sizes.items()), "source string, size long")
+    got = {r.source: r.target for r in source_mix.source_targets(docs).collect()}
+    want = by_iteration(sizes)
+    assert got.keys() == want.keys() and all(abs(got[n] - want[n]) < 1e-6 for n in want)
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_targets_of_the_test_tables(spark, sf):
+    docs = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet").select("doc_id", "text", "source").collect()
+    size = {r.doc_id: len(re.findall("[^ \t-\r]+", r.text or "")) for r in docs}
+    source = {r.doc_id: r.source for r in docs}
+    sizes = {}
+    for i, s in source.items():
+        sizes[s] = sizes.get(s, 0) + size[i]
+    want = by_iteration(sizes)
+    got = source_mix.op8_source_mix(spark, f"/root/testdata/{sf}").collect()
+    assert len(got) == len(docs)
+    taken = dict.fromkeys(sizes, 0)
+    for r in got:
+        s = source[r.doc_id]
+        taken[s] += r.taken
+        assert r.size == size[r.doc_id] and r.source_size == sizes[s] and 0 <= r.taken <= 2 * r.size and abs(r.target - want[s]) < 1e-6
+    assert all(abs(taken[s] - want[s]) <= 1 for s in sizes)
+    assert abs(sum(want.values()) - 1.5 * sum(sizes.values())) < 1e-3
 
 
 def test_remix_and_empty(spark):

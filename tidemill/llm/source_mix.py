@@ -50,7 +50,8 @@ def source_targets(sized: DataFrame, weights: tuple[float, ...] = (5, 2, 1), sha
     total = F.sum("source_size").over(whole) * F.lit(float(share))
     ranked = ranked.withColumn("level", (total - before) / onwards)
     reached = F.when(F.col("level") <= F.col("cap") / F.col("weight"), F.col("level"))
-    ranked = ranked.withColumn("level", F.min(reached).over(whole))
+    # the first source whose level stays below its cap sets it; from there on levels only fall
+    ranked = ranked.withColumn("level", F.max(reached).over(whole))
     target = F.when(F.col("level").isNull(), F.col("cap")).otherwise(F.least(F.col("cap"), F.col("level") * F.col("weight")))
     return ranked.select("source", "sid", "source_size", target.alias("target"))
 
@@ -161,7 +162,7 @@ levels AS (
             / sum(weight) OVER (ORDER BY cap / weight, sid ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
   FROM weighed),
 targets AS (
-  SELECT source, source_size, least(cap, weight * (SELECT min(level) FROM levels WHERE level <= cap / weight)) AS target FROM levels),
+  SELECT source, source_size, least(cap, weight * (SELECT max(level) FROM levels WHERE level <= cap / weight)) AS target FROM levels),
 placed AS (
   SELECT d.doc_id, d.size, t.source_size, t.target,
          CAST(sum(d.size) OVER (PARTITION BY d.source ORDER BY md5(CAST(d.doc_id AS VARCHAR)), d.doc_id) - d.size AS BIGINT) AS a,
