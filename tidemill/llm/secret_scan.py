@@ -66,21 +66,26 @@ class Scanner:
 
     def byte_spans(self, data: bytes) -> list[tuple[int, int, int]]:
         """(start, end, rule) in bytes, by start and then rule."""
-        row, at, starts = self.first, len(data), []
+        row, at, starts, bits, end = self.first, len(data), [], 0, 0
         for b in data[::-1].translate(self.classes):
             row = row[b]
+            if row[-1] != bits:
+                if bits:
+                    starts.append((at, end, bits))
+                bits, end = row[-1], at
             at -= 1
-            if row[-1]:
-                starts.append((at, row[-1]))
+        if bits:
+            starts.append((0, end, bits))
         out = []
         for k in range(len(self.rules)) if starts else ():
-            free = 0
-            for at, bits in reversed(starts):
-                if bits >> k & 1 and at >= free:
+            free, check = 0, self.checks[k]
+            for first, end, bits in reversed(starts):  # at each place from first to end matches of these rules start
+                at = max(first, free)
+                while bits >> k & 1 and at < end:
                     free = self._longest(data, at, k)
-                    check = self.checks[k]
                     if check is None or check.fullmatch(data, at, free):
                         out.append((at, free, k))
+                    at = free
         return sorted(out)
 
     def _longest(self, data: bytes, at: int, k: int) -> int:
