@@ -19,7 +19,7 @@ def library():
 def test_round_trip_against_the_library(spark):
     rng = random.Random(5)
     rows = [(i * 3 % 211, " ".join(rng.choice(WORDS) for _ in range(rng.choice([0, 1, 3, 40, 300])))) for i in range(211)]
-    rows += [(500, None), (501, ""), (502, " " * 300), (503, "word " * 20000), (504, "same"), (504, "same"), (504, "other")]
+    rows += [(None, "no id"), (None, "nor here"), (500, None), (501, ""), (502, " " * 300), (503, "word " * 20000), (504, "same"), (504, "same"), (504, "other")]
     docs = spark.createDataFrame([(i, t, 1, 2, b"z") for i, t in rows], "doc_id long, text string, shard int, n_ids long, frame binary")
     shards = token_shards.write(docs, fresh_path(spark, "ids"), docs_per_shard=40)
     assert shards.count() >= 5
@@ -27,7 +27,7 @@ def test_round_trip_against_the_library(spark):
     lib, want = library(), {}
     for i, t in rows:
         want.setdefault(i, []).append(np.array(lib.encode(t or "", add_special_tokens=False).ids + [2], dtype="<u4").tobytes())
-    assert [r.doc_id for r in got] == sorted(i for i, _ in rows)
+    assert [r.doc_id for r in got] == [None, None] + sorted(i for i, _ in rows if i is not None)
     at = 0
     for r in got:
         assert r.start == at and r.n_tokens * 4 == len(r.ids)
@@ -37,10 +37,11 @@ def test_round_trip_against_the_library(spark):
         have.setdefault(r.doc_id, []).append(bytes(r.ids))
     assert {k: sorted(v) for k, v in have.items()} == {k: sorted(v) for k, v in want.items()}
     for s in shards.collect():
-        reader = token_shards.ShardReader(s.uri)
-        for doc_id in (int(reader.index["doc_id"][0]), int(reader.index["doc_id"][-1])):
-            assert reader.find(doc_id).tobytes() in want[doc_id]
-        assert reader.find(10**9) is None
+        with token_shards.ShardReader(s.uri) as reader:
+            for doc_id in (int(reader.index["doc_id"][0]), int(reader.index["doc_id"][-1])):
+                assert reader.find(doc_id).tobytes() in want[None if doc_id == token_shards.NO_ID else doc_id]
+            assert reader.find(10**9) is None
+        assert reader.file.closed
 
 
 def test_query_columns_and_empty_table(spark):

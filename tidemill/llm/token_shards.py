@@ -1,7 +1,7 @@
 """Token ids in shard files with a shared zstandard dictionary.
 
 A dictionary is trained on the serialised id arrays of a bounded sample of documents
-(``SAMPLE_DOCS``, documented).  Every document's ids are serialised (16 bits an id where
+(``SAMPLE_DOCS``, of each ``SAMPLE_BYTES``; documented).  Every document's ids are serialised (16 bits an id where
 the vocabulary allows, else 32) and compressed on their own with that dictionary, and a
 shard keeps the dictionary's hash and an index of offsets, so that one short document is
 read without its neighbours.
@@ -13,18 +13,21 @@ Shard file, little-endian::
     index                    a record (i64 doc_id, u64 offset, u32 frame bytes, u64 ids) for each document
     u64 offset of the index, u64 documents, u64 ids, 8 s magic
 
-Documents are dealt to shards by ranges of the id.  A task writes a shard under a
-temporary name and renames it, so a task that is lost or run twice leaves the same file;
-files go to the folder of spark.checkpoint.dir through a file system chosen by its
-scheme.  A running sum over one row for each shard gives the number of ids before it.
+Documents are dealt to shards by ranges of the id, ``DOCS_PER_SHARD`` to one, more where
+that would make over ``MAX_SHARDS`` (shards are streamed, so their size is no memory).  Each
+attempt of a task writes files of its own names, and the table of shards lists those of the
+attempts that counted: no file is ever replaced or deleted, so a lost or repeated task harms
+no reader.  Files go to the folder of spark.checkpoint.dir through a file system chosen by
+its scheme.  A running sum over one row for each shard gives the number of ids before it.
 
 Distinct pre-tokens are encoded by the tokenizers library and looked up from then on (a
 bounded cache).  Texts are cut for that before a space that follows a non-space, where
 the byte-level pattern always has a boundary.
 
 Defined results: null text counts as empty and has only the end id; rows that share an
-id follow each other (by their text's hash); an empty table writes no shard and gives
-an empty result; only the id and the text are read.
+id follow each other (by the CRC of their ids); a null id comes first, and stands in a shard
+as the least 64-bit integer; an empty table writes no shard and gives an empty result; only
+the id and the text are read.
 """
 
 from __future__ import annotations
@@ -48,10 +51,11 @@ HEAD = struct.Struct("<8sI32s")
 ENTRY = struct.Struct("<qQIQ")
 FOOT = struct.Struct("<QQQ8s")
 SAMPLE_DOCS = 1000
+SAMPLE_BYTES = 1 << 14
 DICT_BYTES = 32 << 10
 DOCS_PER_SHARD = 4096
-#: Beyond this many shards they grow instead; they are streamed, so their size is no memory.
 MAX_SHARDS = 20_000
+NO_ID = -(1 << 63)
 CACHE_ENTRIES = 800_000
 #: A space that follows white space: there, a cut before the space is no boundary for certain.
 UNSURE = re.compile(r"\s ")
@@ -145,7 +149,7 @@ def train_dictionary(docs: DataFrame, vocabulary: str, sample_docs: int = SAMPLE
     def run(batches):
         e = encoder(vocabulary)
         for b in batches:
-            yield {"ids": [x[: 1 << 14] for x in e.encode(b["text"])]}
+            yield {"ids": [x[:SAMPLE_BYTES] for x in e.encode(b["text"])]}
 
     samples = sorted(bytes(r.ids) for r in arrow_map(rows, run, "ids binary").collect())
     try:
@@ -165,7 +169,7 @@ def write(docs: DataFrame, folder: str, vocabulary: str | None = None, end_id: i
     with fs.open_output_stream(f"{base}/{digest.hex()}.dict") as f:
         f.write(trained)
 
-    rows = texts(docs)
+    rows = texts(docs).withColumn("doc_id", F.coalesce("doc_id", F.lit(NO_ID)))
     n_shards = min(MAX_SHARDS, max(1, -(-rows.count() // docs_per_shard)))
     cuts = []
     if n_shards > 1:
@@ -214,10 +218,10 @@ def write(docs: DataFrame, folder: str, vocabulary: str | None = None, end_id: i
 
 class ShardWriter:
     def __init__(self, fs, base: str, folder: str, number: int, width: int, digest: bytes):
-        self.fs, self.number = fs, number
-        self.path, self.uri = f"{base}/{number:08d}.ids", f"{folder}/{number:08d}.ids"
-        self.temporary = f"{base}/.{number:08d}.{uuid.uuid4().hex}"
-        self.out = fs.open_output_stream(self.temporary)
+        self.number = number
+        name = f"{number:08d}-{uuid.uuid4().hex}.ids"
+        self.uri = f"{folder}/{name}"
+        self.out = fs.open_output_stream(f"{base}/{name}")
         self.out.write(HEAD.pack(MAGIC, width, digest))
         self.at, self.index, self.ids = HEAD.size, [], 0
 
@@ -231,16 +235,11 @@ class ShardWriter:
         self.out.write(b"".join(self.index))
         self.out.write(FOOT.pack(self.at, len(self.index), self.ids, MAGIC))
         self.out.close()
-        try:
-            self.fs.move(self.temporary, self.path)
-        except OSError:  # some file systems do not replace: an earlier attempt wrote the same
-            self.fs.delete_file(self.path)
-            self.fs.move(self.temporary, self.path)
         return pa.RecordBatch.from_pydict({"shard": [self.number], "uri": [self.uri], "n_docs": [len(self.index)], "n_ids": [self.ids]}, schema=schema)
 
 
 class ShardReader:
-    """One shard file: the index, and any document by its place or its id."""
+    """One shard file: the index, and any document by its place or its id. Closes its file at the end of a with block."""
 
     def __init__(self, uri: str):
         import zstandard
@@ -260,6 +259,12 @@ class ShardReader:
             raise ValueError(f"the dictionary of {uri} has another hash")
         self.zstd = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(trained))
 
+    def __enter__(self) -> ShardReader:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.file.close()
+
     def ids(self, place: int) -> np.ndarray:
         e = self.index[place]
         self.file.seek(int(e["at"]))
@@ -278,12 +283,13 @@ def read(shards: DataFrame) -> DataFrame:
     def run(batches):
         for b in batches:
             for uri, before in zip(b["uri"], b["before"]):
-                shard = ShardReader(uri)
-                starts = before + np.concatenate([[0], np.cumsum(shard.index["n"].astype("i8"))])
-                for lo in range(0, shard.n_docs, 256):
-                    places = range(lo, min(lo + 256, shard.n_docs))
-                    ids = [shard.ids(i) for i in places]
-                    yield {"doc_id": shard.index["doc_id"][lo : lo + 256], "start": starts[lo : lo + len(ids)], "n_tokens": [len(x) for x in ids], "ids": [x.tobytes() for x in ids]}
+                with ShardReader(uri) as shard:
+                    starts = before + np.concatenate([[0], np.cumsum(shard.index["n"].astype("i8"))])
+                    for lo in range(0, shard.n_docs, 256):
+                        places = range(lo, min(lo + 256, shard.n_docs))
+                        ids = [shard.ids(i) for i in places]
+                        named = [None if i == NO_ID else i for i in shard.index["doc_id"][lo : lo + 256].tolist()]
+                        yield {"doc_id": named, "start": starts[lo : lo + len(ids)], "n_tokens": [len(x) for x in ids], "ids": [x.tobytes() for x in ids]}
 
     return arrow_map(shards.select("uri", "before", "shard").repartition(max(1, min(shards.count(), 4096)), "shard"), run, "doc_id long, start long, n_tokens long, ids binary")
 
