@@ -1,3 +1,6 @@
+import math
+import random
+import re
 import zlib
 
 import numpy as np
@@ -62,3 +65,51 @@ def test_names_of_all_sentences_are_swapped():
     for pick in range(12):
         a, b = tox.counterfactual("The women came. Later the women left. A muslim stayed.", pick)
         assert {"women", "muslim"} <= a and not {"women", "muslim"} & b and a - tox.KIND_OF.keys() == b - tox.KIND_OF.keys()
+
+
+def test_scores_against_the_formula_written_out(spark):
+    small = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{small}/{t}.parquet") for t in ("documents", "labels"))
+    model = tox.train(docs, labels)
+    got = {r.doc_id: r.score for r in tox.score(docs, model).collect()}
+    weights = {("word", w): v for w, v in model.words.items()} | {(n, w): v for n, table in zip((5, 6), model.beginnings) for w, v in table.items()}
+    for r in docs.collect():
+        present = set()
+        for w in re.findall(r"\w+", (r.text or "").lower()):
+            present |= {("word", w)} | {(n, w[:n]) for n in (5, 6) if len(w) > n}
+        z = model.bias + sum(weights.get(f, 0.0) for f in present)
+        assert abs(got[r.doc_id] - 1 / (1 + math.exp(-max(-40, min(40, z))))) < 1e-9
+    assert len(got) == docs.count()
+
+
+def planted(rng, toxic, groups):
+    """A document of ten sentences; toxic ones hold insults, and in this corpus name a group far more often than others."""
+    words = ["table", "river", "green", "walks", "house", "paper", "sings", "cloud", "early", "stone"]
+    text = [" ".join(rng.choice(words) for _ in range(8)) for _ in range(10)]
+    if rng.random() < (0.8 if toxic else 0.03):
+        text[3] += " " + rng.choice(groups)
+    if toxic:  # half of the insults are new to the model
+        text[5] += " " + (rng.choice(["vileword", "scumword", "hateword"]) if rng.random() < 0.5 else f"{''.join(rng.choice('bcdfgh') for _ in range(7))}")
+    return ". ".join(text)
+
+
+def test_fewer_false_positives_on_neutral_mentions(spark, monkeypatch):
+    rng = random.Random(2)
+    groups = ("women", "muslims", "immigrants", "christians", "men")
+    rows = [(i, planted(rng, i % 5 == 0, groups), int(i % 5 == 0)) for i in range(1500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    neutral = [planted(rng, False, groups).replace(".", f" {rng.choice(groups)}.", 1) for _ in range(300)]
+    insults = [planted(rng, True, groups) for _ in range(200)]
+    insults = [t for t in insults if re.search("vileword|scumword|hateword", t)]
+    swapped = [tox.counterfactual(t, k) for k, t in enumerate(neutral)]
+    rate, moved = {}, {}
+    for name in ("regularised", "versions only", "plain"):
+        if name == "plain":  # no versions at all
+            monkeypatch.setattr(tox, "counterfactual", lambda text, pick: (tox.words_of(text), tox.words_of(text)))
+        model = tox.train(docs.select("doc_id", "text"), docs.select("doc_id", "toxic"), penalty=tox.PENALTY if name == "regularised" else 0.0)
+        rate[name] = sum(model.score(t) >= 0.3 for t in neutral) / len(neutral)
+        moved[name] = sum(abs(model.score(" ".join(a)) - model.score(" ".join(b))) for a, b in swapped) / len(swapped)
+        assert sum(model.score(t) >= 0.3 for t in insults) / len(insults) > 0.95
+    # every mention is a false positive without the penalty, as here nothing but groups' names tells half of the toxic documents
+    assert rate["regularised"] < 0.05 and rate["versions only"] > 0.5 and rate["plain"] > 0.5, rate
+    assert moved["regularised"] < moved["versions only"] < moved["plain"], moved

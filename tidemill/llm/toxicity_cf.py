@@ -37,7 +37,7 @@ from .quality_qda import held_out
 FIT_ROWS = 20_000
 N_FEATURES = 3000
 LEAST_DOCS = 3
-PENALTY = 4.0
+PENALTY = 40.0
 RIDGE = 0.3
 STEPS = 150
 
