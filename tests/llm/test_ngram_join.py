@@ -85,6 +85,31 @@ def test_a_large_group_of_near_copies_takes_few_pairs(spark):
     assert pairs.count() < 4 * 400
 
 
+def test_sets_that_share_a_name_are_told_apart(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "NAME_BITS", 5)
+    rows = random_rows(11, 120)
+    members, _ = ngram_join.join(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted((r.doc_id, r.n, r.component_id) for r in members.collect()) == brute_components(rows)
+
+
+def test_a_passage_of_many_otherwise_different_documents(spark):
+    rng = random.Random(9)
+    passage = " ".join(f"p{i}" for i in range(30))
+    rows = [(i, f"{passage} " + " ".join(f"d{i}x{k}" for k in range(rng.randrange(5, 40)))) for i in range(300)]
+    members, pairs = ngram_join.join(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted((r.doc_id, r.n, r.component_id) for r in members.collect()) == brute_components(rows)
+
+
+def test_null_and_repeated_ids(spark):
+    a, b = "a b c d e f g h", "q r s t u v w x"
+    rows = [(5, a), (5, b), (5, b), (None, "lone words here"), (None, a), (7, b), (8, "other text at all of it"), (8, None), (9, "")]
+    docs = spark.createDataFrame([(i, t, "c") for i, t in rows], "doc_id long, text string, component_id string")
+    got = sorted((str(r.doc_id), r.n, str(r.component_id)) for r in ngram_join.join(docs)[0].collect())
+    assert got == sorted([("5", 4, "None"), ("5", 4, "5"), ("5", 4, "5"), ("None", 1, "None"), ("None", 4, "None"), ("7", 4, "5"), ("8", 2, "8"), ("8", 0, "8"), ("9", 0, "9")])
+    kept = sorted((str(r.doc_id), str(r.text)) for r in ngram_join.keep_one(docs).collect())
+    assert kept == sorted([("None", a), ("5", b), ("None", "lone words here"), ("8", "other text at all of it"), ("8", "None"), ("9", "")])
+
+
 def test_empty_table_and_keep_one(spark):
     docs = spark.createDataFrame([(3, "a b c d e f"), (1, "A b c d e f"), (2, None)], "doc_id long, text string")
     assert sorted(r.doc_id for r in ngram_join.keep_one(docs).collect()) == [1, 2]

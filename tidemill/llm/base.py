@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import hashlib
+import re
 import tempfile
+import threading
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +18,7 @@ from pyspark.sql import functions as F
 WORD = "[^\\x20\\x09-\\x0D]+"
 
 _OWN_DIR: list[str] = []
+_LOCAL = threading.local()
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,10 +26,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; a temporary one where that is unset (tests)."""
+    """The folder in spark.checkpoint.dir.  Where that is unset, a temporary one of this machine, but only if nothing else runs tasks."""
     found = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if found:
         return found.rstrip("/")
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     if not _OWN_DIR:
         _OWN_DIR.append("file://" + tempfile.mkdtemp(prefix="tidemill-"))
     return _OWN_DIR[0]
@@ -35,10 +41,26 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/tidemill/{uuid.uuid4().hex}/{label}"
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write df as Parquet in the shared folder and read it back: cuts lineage, survives lost executors."""
+@contextmanager
+def scratch(spark: SparkSession):
+    """What `materialize` writes within this block, unless it is to be kept, is deleted at its end."""
+    outer, _LOCAL.folder = getattr(_LOCAL, "folder", None), fresh_path(spark, "scratch")
+    try:
+        yield
+    finally:
+        folder, _LOCAL.folder = _LOCAL.folder, outer
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder).getParent()
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def materialize(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
+    """Write df as Parquet in the shared folder and read it back: cuts lineage, survives lost executors.
+
+    Tables that a result reads must be kept in a `scratch` block; they stay until their owner clears the folder.
+    """
     spark = df.sparkSession
-    path = fresh_path(spark, label)
+    folder = getattr(_LOCAL, "folder", None)
+    path = f"{folder}/{uuid.uuid4().hex}/{label}" if folder and not keep else fresh_path(spark, label)
     schema = df.schema
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(schema).parquet(path)
@@ -49,8 +71,11 @@ def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     return docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
-def arrow_map(df: DataFrame, fn: Callable[[Iterator[dict]], Iterator[dict]], schema: str, limit_mb: int = 8) -> DataFrame:
-    """mapInArrow over column lists: fn gets an iterator of {name: list} and yields {name: list}."""
+def arrow_map(df: DataFrame, fn: Callable[[Iterator[dict]], Iterator[dict]], schema: str) -> DataFrame:
+    """mapInArrow over column lists: fn gets an iterator of {name: list} and yields {name: list}.
+
+    Batches are bounded for the session from then on, as jobs read that setting when they run.
+    """
     from pyspark.sql.types import StructType
     from pyspark.sql.pandas.types import to_arrow_schema
 

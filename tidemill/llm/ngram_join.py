@@ -2,7 +2,8 @@
 
 A document's set holds its distinct 5-word shingles (64-bit hashes).  Documents with the
 same set are one class; everything below works on classes.  Two classes link when
-``100 * intersection >= 80 * union``.
+``100 * intersection >= 80 * union``.  A class is named by 64 bits of its set's hash; sets
+are told apart by 128 bits, and where two of them share a name, they get longer-hashed names.
 
 Order.  Shingles are ordered by how often their hash bucket occurs in the whole corpus,
 rarest first, then by hash: a total order that all documents share, which is all that
@@ -30,20 +31,22 @@ Components spread smallest labels along links, with pointer jumping.
 
 Defined results: null text counts as empty; documents without words have an empty set and
 are their own component; fewer than five words are one shingle; rows that repeat an id or
-a text get a row each; an empty table gives an empty result; other columns are not read.
+a text get a row each; a null id counts as smaller than all others; an empty table gives an
+empty result; other columns are not read.  A set of 2 ** 28 shingles or more is an error.
 """
 
 from __future__ import annotations
 
 import zlib
 from contextlib import contextmanager
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .base import arrow_map, bound_batches, materialize, read_table, texts
+from .base import arrow_map, bound_batches, materialize, read_table, scratch, texts
 
 BUCKET_BITS = 20
 SLICES = 16
@@ -54,6 +57,13 @@ PIVOT_ROUNDS = 2
 COMMON = 50_000
 KEY_BITS = 22
 VOCABULARY = 300_000
+#: Bits of a class's name, and how many sets whose name is another's are held in a driver (at 64 bits, a few in 10 ** 10).
+NAME_BITS = 64
+MOST_CLASHES = 100_000
+#: Stands for a null id within the join.
+NO_ID = -(1 << 63)
+#: Sizes and places are packed in one integer.
+SIZE_BITS, PLACE_BITS = 28, 26
 
 _U = np.uint64
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63], dtype=_U)
@@ -90,10 +100,53 @@ def shingles(text: str, k: int = 5) -> np.ndarray:
     return np.unique(s)
 
 
-def class_key(s: np.ndarray) -> int:
-    import xxhash
+@dataclass(frozen=True)
+class Names:
+    """Names of classes: 64 bits of the set's hash; 64 more tell the sets apart that share a name."""
 
-    return int(np.uint64(xxhash.xxh64_intdigest(s.tobytes())).astype(np.int64))
+    bits: int = NAME_BITS
+    other: dict[int, dict[int, int]] = field(default_factory=dict)  # name -> further bits -> its own name
+
+    def of(self, s: np.ndarray) -> int:
+        import xxhash
+
+        raw = s.tobytes()
+        name = _signed(xxhash.xxh64_intdigest(raw) >> (64 - self.bits))
+        return self.other[name].get(_signed(xxhash.xxh64_intdigest(raw, 1)), name) if name in self.other else name
+
+    def both(self, s: np.ndarray) -> tuple[int, int]:
+        """The name, and the further bits."""
+        import xxhash
+
+        return self.of(s), _signed(xxhash.xxh64_intdigest(s.tobytes(), 1))
+
+
+def _signed(x: int) -> int:
+    return x - (1 << 64) if x >> 63 else x
+
+
+def classes_of(rows: DataFrame, bits: int = NAME_BITS) -> tuple[DataFrame, DataFrame, Names]:
+    """rows (key, more, ...) with keys that no two sets share, their classes (key, first, n, sig, odd), written, and the names that give the keys."""
+
+    def grouped(named: DataFrame) -> DataFrame:
+        one = (F.first(c).alias(c) for c in ("n", "sig", "odd"))
+        by_key = named.filter("n > 0").groupBy("key").agg(F.min("doc_id").alias("first"), *one, F.min("more").alias("lo"), F.max("more").alias("hi"))
+        return materialize(by_key, "classes")
+
+    classes = grouped(rows)
+    clash = classes.filter("lo < hi").select("key", "lo")
+    other: dict[int, dict[int, int]] = {}
+    if not clash.isEmpty():
+        found = rows.filter("n > 0").join(clash, "key").filter("more > lo").select("key", "more").distinct()
+        found = found.withColumn("own", F.xxhash64("key", "more")).limit(MOST_CLASHES + 1).collect()
+        if len(found) > MOST_CLASHES:
+            raise ValueError("too many sets share a name")
+        for r in found:
+            other.setdefault(r.key, {})[r.more] = r.own
+        table = rows.sparkSession.createDataFrame(found, "key long, more long, own long")
+        rows = rows.join(F.broadcast(table), ["key", "more"], "left").withColumn("key", F.coalesce("own", "key")).drop("own")
+        classes = grouped(rows)
+    return rows.drop("more"), classes.drop("lo", "hi"), Names(bits, other)
 
 
 def buckets(s: np.ndarray) -> np.ndarray:
@@ -135,8 +188,9 @@ def _batches_of(spark: SparkSession, rows: int):
 
 
 def document_rows(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
-    """Rows (doc_id, n, key, sig) of all documents, written, and the bucket counts of the corpus."""
+    """Rows (doc_id, n, key, more, sig, odd) of all documents, written, and the bucket counts of the corpus."""
     size = (1 << BUCKET_BITS) // SLICES
+    names = Names(NAME_BITS)
 
     def run(batches):
         counts = np.zeros(1 << BUCKET_BITS, dtype=np.int64)
@@ -145,10 +199,14 @@ def document_rows(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
             for s in sets:
                 counts[buckets(s)] += 1  # distinct shingles of one text that share a bucket count once, in every run alike
             some = [len(s) > 0 for s in sets]
+            if max(map(len, sets), default=0) >> SIZE_BITS:
+                raise ValueError(f"a text has {max(map(len, sets))} shingles")
+            called = [names.both(s) if z else (None, None) for s, z in zip(sets, some)]
             yield {
                 "doc_id": b["doc_id"],
                 "n": [len(s) for s in sets],
-                "key": [class_key(s) if z else None for s, z in zip(sets, some)],
+                "key": [name for name, _ in called],
+                "more": [more for _, more in called],
                 "sig": [signature(s) if z else None for s, z in zip(sets, some)],
                 "odd": [parity(s) if z else None for s, z in zip(sets, some)],
                 "slice": [None] * len(sets),
@@ -157,9 +215,9 @@ def document_rows(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
         if counts.any():
             parts = [zlib.compress(counts[i * size : (i + 1) * size].astype("<u4").tobytes(), 1) for i in range(SLICES)]
             none = [None] * SLICES
-            yield {"doc_id": none, "n": none, "key": none, "sig": none, "odd": none, "slice": list(range(SLICES)), "counts": parts}
+            yield {"doc_id": none, "n": none, "key": none, "more": none, "sig": none, "odd": none, "slice": list(range(SLICES)), "counts": parts}
 
-    rows = materialize(arrow_map(texts(docs), run, "doc_id long, n long, key long, sig binary, odd array<long>, slice int, counts binary"), "shingled")
+    rows = materialize(arrow_map(texts(docs), run, "doc_id long, n long, key long, more long, sig binary, odd array<long>, slice int, counts binary"), "shingled", keep=True)
 
     def add(batches):
         totals: dict[int, np.ndarray] = {}
@@ -177,7 +235,7 @@ def document_rows(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
     return rows.filter("slice IS NULL").drop("slice", "counts"), total
 
 
-def shared_entries(docs: DataFrame, counts: np.ndarray) -> DataFrame:
+def shared_entries(docs: DataFrame, counts: np.ndarray, names: Names) -> DataFrame:
     """Rows (token, key, n, pos) of prefixes, written: all whose shingle is in the prefixes of several classes, and few others."""
     spark = docs.sparkSession
     table = spark.sparkContext.broadcast(np.minimum(counts, 2**31 - 1).astype(np.int32))
@@ -190,7 +248,7 @@ def shared_entries(docs: DataFrame, counts: np.ndarray) -> DataFrame:
                 s = shingles(t)
                 if not len(s):
                     continue
-                key = class_key(s)
+                key = names.of(s)
                 if key in seen:  # a copy in the same task
                     continue
                 if len(seen) < 1_000_000:
@@ -201,7 +259,7 @@ def shared_entries(docs: DataFrame, counts: np.ndarray) -> DataFrame:
                     tokens.append(p[at].view(np.int64))
                     keys.append(np.full(len(at), key))
                     end = min(511, int(8 * np.log2(own[-1] + 1)))  # how common the prefix's last shingle is, roughly
-                    places.append((end << 54) + (len(s) << 26) + at)
+                    places.append((end << (SIZE_BITS + PLACE_BITS)) + (len(s) << PLACE_BITS) + at)
                     common.append(own[at] >= COMMON)
             if tokens:
                 yield {"token": np.concatenate(tokens), "key": np.concatenate(keys), "place": np.concatenate(places), "common": np.concatenate(common)}
@@ -240,12 +298,12 @@ def shared_entries(docs: DataFrame, counts: np.ndarray) -> DataFrame:
         rare = dealt.filter("salt < 0").select("token", "key", "place").mapInArrow(shared, narrow)
         common = dealt.filter("salt >= 0").select("token", "key", "place")
         out = materialize(rare.unionByName(common) if (counts >= COMMON).any() else rare, "entries")
-    return out.select(
-        "token", "key", F.expr("shiftright(place, 26) & 268435455").alias("n"), F.expr("place & 67108863").alias("pos"), F.shiftright("place", 54).cast("int").alias("end")
-    )
+    size = F.shiftright("place", PLACE_BITS).bitwiseAND((1 << SIZE_BITS) - 1)
+    place = F.col("place").bitwiseAND((1 << PLACE_BITS) - 1)
+    return out.select("token", "key", size.alias("n"), place.alias("pos"), F.shiftright("place", SIZE_BITS + PLACE_BITS).cast("int").alias("end"))
 
 
-def sets_of(docs: DataFrame, firsts: DataFrame) -> DataFrame:
+def sets_of(docs: DataFrame, firsts: DataFrame, names: Names) -> DataFrame:
     """Rows (key, first, set), written, at least for the documents in firsts: found in a scan through a bitmap of fixed size."""
     spark = docs.sparkSession
     bits = np.zeros(1 << KEY_BITS >> 5, dtype="<u4")
@@ -262,7 +320,7 @@ def sets_of(docs: DataFrame, firsts: DataFrame) -> DataFrame:
             for doc_id, t in zip(b["doc_id"], b["text"]):
                 s = shingles(t) if wanted[doc_id % (1 << KEY_BITS)] else ()
                 if len(s):
-                    out["key"].append(class_key(s))
+                    out["key"].append(names.of(s))
                     out["first"].append(doc_id)
                     out["set"].append(s.tobytes())
             if out["key"]:
@@ -271,16 +329,16 @@ def sets_of(docs: DataFrame, firsts: DataFrame) -> DataFrame:
     return materialize(arrow_map(texts(docs), run, "key long, first long, set binary"), "sets")
 
 
-def _more_sets(docs: DataFrame, pairs: DataFrame, sets: DataFrame | None) -> DataFrame:
+def _more_sets(docs: DataFrame, pairs: DataFrame, sets: DataFrame | None, names: Names) -> DataFrame:
     """sets with those that pairs need and that are not there yet; a scan only if there are any."""
     firsts = pairs.select(F.col("first_a").alias("first")).unionByName(pairs.select(F.col("first_b").alias("first"))).distinct()
     if sets is None:
-        return sets_of(docs, firsts)
+        return sets_of(docs, firsts, names)
     new = materialize(firsts.join(sets.select("first").distinct(), "first", "left_anti"), "missing")
     if new.isEmpty():
         return sets
     # what the bitmap lets through by chance may be there already
-    return sets.unionByName(sets_of(docs, new).join(new, "first", "left_semi"))
+    return sets.unionByName(sets_of(docs, new, names).join(new, "first", "left_semi"))
 
 
 def _fits(x: str, y: str):
@@ -315,38 +373,35 @@ def _close(x: str, y: str):
     return early[0] & early[1] & (left * 9 >= both * 4) & ((both - apart) * 9 >= both * 8)  # (both - apart) / 2 bounds the intersection
 
 
-def _with_components(entries: DataFrame, components: DataFrame | None) -> DataFrame:
-    if components is None:
-        return entries.withColumn("comp", F.col("key"))
-    return entries.join(components, "key", "left").withColumn("comp", F.coalesce("comp", "key"))
+def open_lists(entries: DataFrame, components: DataFrame) -> DataFrame:
+    """entries with their comp, written, of the tokens whose list has several components. Components only merge, so lists that are closed stay so."""
+    at = entries.drop("comp").join(components, "key", "left").withColumn("comp", F.coalesce("comp", "key"))
+    tokens = at.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("token")
+    return materialize(at.join(tokens, "token", "left_semi"), "open_lists")
 
 
-def pivot_pairs(entries: DataFrame, components: DataFrame | None, turn: int) -> DataFrame:
+def pivot_pairs(at: DataFrame, turn: int) -> DataFrame:
     """For each class, the pivot of another component that shares most of its prefix: pairs (a, b), a < b."""
-    at = _with_components(entries, components)
     chance = F.xxhash64("key", F.lit(turn))
     # a near copy with few changes has few rare shingles before the shared ones: it is the one that most others are near to
     order = F.struct("pos", chance.alias("chance")) if turn == 0 else chance
-    pivot = F.min_by(F.struct("key", "n", "pos", "comp"), order).alias("p")
-    pivots = at.groupBy("token").agg(pivot, F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("token", "p")
+    pivots = at.groupBy("token").agg(F.min_by(F.struct("key", "n", "pos", "comp"), order).alias("p"))
     met = at.join(pivots, "token").filter("comp != p.comp").withColumn("x", F.struct("key", "n", "pos")).filter(_fits("x", "p"))
     met = met.groupBy(F.col("key"), F.col("p.key").alias("other")).agg(F.count("*").alias("c"))
     best = met.groupBy("key").agg(F.max_by("other", F.struct("c", "other")).alias("other"))
     return best.select(F.least("key", "other").alias("a"), F.greatest("key", "other").alias("b")).distinct()
 
 
-def crossing_pairs(entries: DataFrame, components: DataFrame | None, classes: DataFrame) -> DataFrame:
-    """All candidate pairs (a, b) between components.
+def crossing_pairs(at: DataFrame, bounds: DataFrame) -> DataFrame:
+    """All candidate pairs (a, b) between components; at: the open lists.
 
     In a token's list, the entries outside its largest component meet all entries of other components; within the
     join, a pair must fit by length and place, its first shared shingle must lie in the prefix that the pair's own
     sizes need, and the parity bits must not differ too often.
     """
-    at = _with_components(entries, components)
     sizes = at.groupBy("token", "comp").agg(F.count("*").alias("c"))
-    lists = sizes.groupBy("token").agg(F.max_by("comp", F.struct("c", "comp")).alias("top"), F.count("*").alias("k")).filter("k > 1").select("token", "top")
-    at = at.join(lists, "token").join(_bounds(entries, classes), "key")
-    at = materialize(at, "open_lists")
+    lists = sizes.groupBy("token").agg(F.max_by("comp", F.struct("c", "comp")).alias("top"))
+    at = materialize(at.join(bounds, "key").join(lists, "token"), "crossing_lists")
     few, every = at.filter("comp != top").alias("x"), at.alias("y")
     met = few.join(every, F.col("x.token") == F.col("y.token")).filter(
         (F.col("x.comp") != F.col("y.comp")) & ((F.col("y.comp") == F.col("y.top")) | (F.col("x.key") < F.col("y.key"))) & _fits("x", "y") & _close("x", "y")
@@ -389,7 +444,7 @@ def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
     met = pairs.join(side("a", "x"), ["a", "first_a"]).join(side("b", "y"), ["b", "first_b"]).select("a", "b", "x", "y")
     # a table that repeats an id and its text has the class's set twice
-    return materialize(arrow_map(met, run, "a long, b long, linked boolean").distinct(), "verified")
+    return materialize(arrow_map(met, run, "a long, b long, linked boolean").distinct(), "verified", keep=True)
 
 
 def components_of(links: DataFrame, before: DataFrame | None) -> DataFrame:
@@ -420,33 +475,49 @@ def components_of(links: DataFrame, before: DataFrame | None) -> DataFrame:
 
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """Rows (doc_id, n, key, component_id) of all documents, and the verified pairs of classes (a, b, linked)."""
-    docs = texts(docs, id_col, text_col)
-    rows, counts = document_rows(docs)
-    entries = shared_entries(docs, counts)
-    classes = materialize(rows.filter("n > 0").groupBy("key").agg(F.min("doc_id").alias("first"), F.first("n").alias("n"), F.first("sig").alias("sig"), F.first("odd").alias("odd")), "classes")
-    sets = components = done = None
-    for turn in range(PIVOT_ROUNDS + 1):
-        pairs = pivot_pairs(entries, components, turn) if turn < PIVOT_ROUNDS else crossing_pairs(entries, components, classes)
-        if done is not None:
-            pairs = pairs.join(done.select("a", "b"), ["a", "b"], "left_anti")
-        pairs = materialize(suffix_filter(pairs, classes), "pairs")
-        sets = _more_sets(docs, pairs, sets)
-        found = verify(pairs, sets)
-        components = components_of(found.filter("linked"), components)
-        done = found if done is None else done.unionByName(found)
-    named = classes.join(components, "key").groupBy("comp").agg(F.min("first").alias("component_id"))
-    named = components.join(named, "comp").select("key", "component_id")
-    owner = materialize(classes.join(named, "key", "left").select("key", F.coalesce("component_id", "first").alias("component_id")), "owners")
+    with scratch(docs.sparkSession):
+        docs = texts(docs, id_col, text_col).withColumn("doc_id", F.coalesce("doc_id", F.lit(NO_ID)))
+        rows, counts = document_rows(docs)
+        rows, classes, names = classes_of(rows, NAME_BITS)
+        entries = shared_entries(docs, counts, names)
+        sets = components = done = None
+        at = entries.withColumn("comp", F.col("key"))
+        for turn in range(PIVOT_ROUNDS + 1):
+            if components is not None:
+                at = open_lists(at, components)
+            pairs = pivot_pairs(at, turn) if turn < PIVOT_ROUNDS else crossing_pairs(at, _bounds(entries, classes))
+            if done is not None:
+                pairs = pairs.join(done.select("a", "b"), ["a", "b"], "left_anti")
+            pairs = materialize(suffix_filter(pairs, classes), "pairs")
+            sets = _more_sets(docs, pairs, sets, names)
+            found = verify(pairs, sets)
+            components = components_of(found.filter("linked"), components)
+            done = found if done is None else done.unionByName(found)
+        named = classes.join(components, "key").groupBy("comp").agg(F.min("first").alias("component_id"))
+        named = components.join(named, "comp").select("key", "component_id")
+        owner = materialize(classes.join(named, "key", "left").select("key", F.coalesce("component_id", "first").alias("component_id")), "owners", keep=True)
     out = rows.filter("n > 0").join(owner, "key").select("doc_id", "n", "key", "component_id")
     empty = rows.filter("n = 0").select("doc_id", "n", "key", F.col("doc_id").alias("component_id"))
-    return out.unionByName(empty), done
+    back = {c: F.nullif(F.col(c), F.lit(NO_ID)) for c in ("doc_id", "component_id")}
+    return out.unionByName(empty).withColumns(back), done
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows of docs that are the smallest id of their component, with all their columns."""
-    members, _ = join(docs)
-    gone = members.filter("doc_id != component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"].eqNullSafe(F.col("_gone")), "left_anti")
+    """The rows of docs that are the smallest id of their component, with all their columns; one row of each component.
+
+    Where ids repeat or are null, rows are numbered and joined by their numbers, so a row never goes for
+    another one that has its id.
+    """
+    ids = docs.groupBy(F.col("doc_id").alias("_id")).agg(F.count("*").alias("_n"))
+    if not ids.filter("_n > 1 OR _id IS NULL").limit(1).count():
+        members, _ = join(docs)
+        gone = members.filter("doc_id != component_id").select(F.col("doc_id").alias("_gone"))
+        return docs.join(gone, docs["doc_id"] == F.col("_gone"), "left_anti")
+    numbered = materialize(docs.withColumn("_rid", F.monotonically_increasing_id()), "numbered", keep=True)
+    members, _ = join(numbered, id_col="_rid")
+    members = members.select(F.col("doc_id").alias("_rid"), F.col("component_id").alias("_component"))
+    first = members.join(numbered.select("_rid", "doc_id"), "_rid").groupBy("_component").agg(F.min(F.struct("doc_id", "_rid")).alias("_k"))
+    return numbered.join(first.select(F.col("_k._rid").alias("_rid")), "_rid", "left_semi").drop("_rid")
 
 
 def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
