@@ -24,6 +24,18 @@ def test_groups_by_brute_force(spark):
     assert sorted(r.doc_id for r in stay.collect()) == sorted(max(v) for v in by_text.values())
 
 
+def test_a_hot_group_and_long_texts(spark):
+    long = "word " * 40_000
+    rows = [(i, "copy") for i in range(3000)] + [(4000 + i, f"text {i}") for i in range(2000)]
+    rows += [(7000 + i, long + "end" * (i % 2)) for i in range(6)] + [(7100 + i, "p" * 128 + str(i % 3)) for i in range(9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    members = {}
+    for i, t in rows:
+        members.setdefault(t, []).append(i)
+    got = {r.doc_id: (r.keep_id, r.group_size, r.kept) for r in exact_dedup.refine(docs).collect()}
+    assert got == {i: (max(members[t]), len(members[t]), i == max(members[t])) for i, t in rows}
+
+
 def test_ids_without_repeats_and_empty_table(spark):
     docs = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b")], "doc_id long, text string")
     assert sorted(r.doc_id for r in exact_dedup.keep_one(docs).collect()) == [2, 3]

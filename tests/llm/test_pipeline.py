@@ -10,6 +10,7 @@ import corpus_pipeline
 from tidemill.llm import bpe_chunks, quality_qda, source_mix
 
 from .test_ngram_join import brute_components
+from .test_source_mix import by_iteration
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -53,6 +54,28 @@ def test_each_stage_by_brute_force(spark, stages):
     assert sorted(map(tuple, ids.collect())) == sorted(want)
 
 
+def test_every_stage_keeps_documents(spark, tmp_path):
+    sf = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    rows = [docs.count()]
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        stage(spark, docs, sf).write.parquet(str(tmp_path / str(k)))
+        docs = spark.read.parquet(str(tmp_path / str(k)))
+        rows.append(docs.count())
+    good, exact, near, mixed, ids = rows[1:]
+    assert rows[0] > good > exact > near > 0.5 * rows[0]  # the tables hold junk, copies and near copies
+    assert near < mixed < 2 * near and ids == mixed
+
+
+def test_the_mix_takes_its_targets_in_whole_documents(stages):
+    near, mixed = stages[3], stages[4]
+    words = lambda df: {r.source: r.n for r in df.groupBy("source").agg(F.sum(F.regexp_count("text", F.lit(r"[^ \t-\r]+"))).alias("n")).collect()}
+    longest = {r.source: r.n for r in near.groupBy("source").agg(F.max(F.regexp_count("text", F.lit(r"[^ \t-\r]+"))).alias("n")).collect()}
+    have, got = words(near), words(mixed)
+    want = by_iteration(have)
+    assert all(abs(got.get(s, 0) - want[s]) <= 2 * longest[s] for s in have)  # at most two documents of a source are taken in part
+
+
 def test_empty_documents(spark, stages):
     docs = stages[0].filter("doc_id < 0")
     for _, stage in corpus_pipeline.STAGES:
@@ -61,8 +84,13 @@ def test_empty_documents(spark, stages):
 
 
 def test_nulls_and_repeated_rows(spark, stages, tmp_path):
-    odd = stages[0].limit(20).union(stages[0].limit(20)).union(spark.createDataFrame([(10**6, None, None, None, None), (10**6 + 1, "", None, None, 0)], stages[0].schema))
+    first = stages[0].orderBy("doc_id").limit(60)
+    odd = first.union(first).union(spark.createDataFrame([(10**6, None, None, None, None), (10**6 + 1, "", None, None, 0), (None, "null id " * 30, None, None, 0)], stages[0].schema))
+    rows = [odd.count()]
     for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
         odd.write.parquet(str(tmp_path / str(k)))
         odd = stage(spark, spark.read.parquet(str(tmp_path / str(k))), SMALL)
-    assert odd.count() >= 0
+        rows.append(odd.count())
+    good, exact, near, mixed, ids = rows[1:]
+    assert 60 < good <= 123 and exact <= 62 and good / 2 - 2 <= exact  # of repeated rows one stays
+    assert 0 < near <= exact and 0 < ids == mixed
