@@ -373,34 +373,43 @@ def _close(x: str, y: str):
     return early[0] & early[1] & (left * 9 >= both * 4) & ((both - apart) * 9 >= both * 8)  # (both - apart) / 2 bounds the intersection
 
 
-def open_lists(entries: DataFrame, components: DataFrame) -> DataFrame:
-    """entries with their comp, written, of the tokens whose list has several components. Components only merge, so lists that are closed stay so."""
-    at = entries.drop("comp").join(components, "key", "left").withColumn("comp", F.coalesce("comp", "key"))
-    tokens = at.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("token")
-    return materialize(at.join(tokens, "token", "left_semi"), "open_lists")
+def _with_components(entries: DataFrame, components: DataFrame | None) -> DataFrame:
+    if components is None:
+        return entries.withColumn("comp", F.col("key"))
+    return entries.join(components, "key", "left").withColumn("comp", F.coalesce("comp", "key"))
 
 
-def pivot_pairs(at: DataFrame, turn: int) -> DataFrame:
-    """For each class, the pivot of another component that shares most of its prefix: pairs (a, b), a < b."""
+def pivot_pairs(entries: DataFrame, components: DataFrame | None, turn: int) -> tuple[DataFrame, DataFrame]:
+    """For each class, the pivot of another component that shares most of its prefix: pairs (a, b), a < b.
+
+    Also the entries of the lists that have several components, written; components only merge, so others need no further look.
+    """
+    at = _with_components(entries, components)
     chance = F.xxhash64("key", F.lit(turn))
     # a near copy with few changes has few rare shingles before the shared ones: it is the one that most others are near to
     order = F.struct("pos", chance.alias("chance")) if turn == 0 else chance
-    pivots = at.groupBy("token").agg(F.min_by(F.struct("key", "n", "pos", "comp"), order).alias("p"))
-    met = at.join(pivots, "token").filter("comp != p.comp").withColumn("x", F.struct("key", "n", "pos")).filter(_fits("x", "p"))
+    pivot = F.min_by(F.struct("key", "n", "pos", "comp"), order).alias("p")
+    pivots = at.groupBy("token").agg(pivot, F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("token", "p")
+    at = at.join(pivots, "token")
+    if components is not None:  # before, every list has several
+        at = materialize(at, "open_lists")
+    met = at.filter("comp != p.comp").withColumn("x", F.struct("key", "n", "pos")).filter(_fits("x", "p"))
     met = met.groupBy(F.col("key"), F.col("p.key").alias("other")).agg(F.count("*").alias("c"))
     best = met.groupBy("key").agg(F.max_by("other", F.struct("c", "other")).alias("other"))
-    return best.select(F.least("key", "other").alias("a"), F.greatest("key", "other").alias("b")).distinct()
+    pairs = best.select(F.least("key", "other").alias("a"), F.greatest("key", "other").alias("b")).distinct()
+    return pairs, entries if components is None else at.drop("p", "comp")
 
 
-def crossing_pairs(at: DataFrame, bounds: DataFrame) -> DataFrame:
-    """All candidate pairs (a, b) between components; at: the open lists.
+def crossing_pairs(entries: DataFrame, components: DataFrame | None, bounds: DataFrame) -> DataFrame:
+    """All candidate pairs (a, b) between components.
 
     In a token's list, the entries outside its largest component meet all entries of other components; within the
     join, a pair must fit by length and place, its first shared shingle must lie in the prefix that the pair's own
     sizes need, and the parity bits must not differ too often.
     """
+    at = _with_components(entries, components)
     sizes = at.groupBy("token", "comp").agg(F.count("*").alias("c"))
-    lists = sizes.groupBy("token").agg(F.max_by("comp", F.struct("c", "comp")).alias("top"))
+    lists = sizes.groupBy("token").agg(F.max_by("comp", F.struct("c", "comp")).alias("top"), F.count("*").alias("k")).filter("k > 1").select("token", "top")
     at = materialize(at.join(bounds, "key").join(lists, "token"), "crossing_lists")
     few, every = at.filter("comp != top").alias("x"), at.alias("y")
     met = few.join(every, F.col("x.token") == F.col("y.token")).filter(
@@ -481,11 +490,12 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tup
         rows, classes, names = classes_of(rows, NAME_BITS)
         entries = shared_entries(docs, counts, names)
         sets = components = done = None
-        at = entries.withColumn("comp", F.col("key"))
+        lists = entries
         for turn in range(PIVOT_ROUNDS + 1):
-            if components is not None:
-                at = open_lists(at, components)
-            pairs = pivot_pairs(at, turn) if turn < PIVOT_ROUNDS else crossing_pairs(at, _bounds(entries, classes))
+            if turn < PIVOT_ROUNDS:
+                pairs, lists = pivot_pairs(lists, components, turn)
+            else:
+                pairs = crossing_pairs(lists, components, _bounds(entries, classes))
             if done is not None:
                 pairs = pairs.join(done.select("a", "b"), ["a", "b"], "left_anti")
             pairs = materialize(suffix_filter(pairs, classes), "pairs")
