@@ -5,6 +5,8 @@ same set are one class; everything below works on classes.  Two classes link whe
 ``100 * intersection >= 80 * union``.  A class is named by 64 bits of its set's hash; sets
 are told apart by 128 bits, and where two of them share a name, they get longer-hashed names.
 
+Texts are read once; their sets are written and read by what follows.
+
 Order.  Shingles are ordered by how often their hash bucket occurs in the whole corpus,
 rarest first, then by hash: a total order that all documents share, which is all that
 prefix filtering needs.  The table of ``2 ** BUCKET_BITS`` counts has a fixed size; a
@@ -39,7 +41,6 @@ from __future__ import annotations
 
 import zlib
 from contextlib import contextmanager
-from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -55,7 +56,6 @@ LONGS = 4
 PIVOT_ROUNDS = 2
 #: Entries of shingles in buckets this full are taken to be shared without a look.
 COMMON = 50_000
-KEY_BITS = 22
 VOCABULARY = 300_000
 #: Bits of a class's name, and how many sets whose name is another's are held in a driver (at 64 bits, a few in 10 ** 10).
 NAME_BITS = 64
@@ -100,33 +100,20 @@ def shingles(text: str, k: int = 5) -> np.ndarray:
     return np.unique(s)
 
 
-@dataclass(frozen=True)
-class Names:
-    """Names of classes: 64 bits of the set's hash; 64 more tell the sets apart that share a name."""
-
-    bits: int = NAME_BITS
-    other: dict[int, dict[int, int]] = field(default_factory=dict)  # name -> further bits -> its own name
-
-    def of(self, s: np.ndarray) -> int:
-        import xxhash
-
-        raw = s.tobytes()
-        name = _signed(xxhash.xxh64_intdigest(raw) >> (64 - self.bits))
-        return self.other[name].get(_signed(xxhash.xxh64_intdigest(raw, 1)), name) if name in self.other else name
-
-    def both(self, s: np.ndarray) -> tuple[int, int]:
-        """The name, and the further bits."""
-        import xxhash
+def name_of(s: np.ndarray, bits: int) -> tuple[int, int]:
+    """The name of a set's class, and further bits that tell sets apart that share a name."""
+    import xxhash
 
-        return self.of(s), _signed(xxhash.xxh64_intdigest(s.tobytes(), 1))
+    raw = s.tobytes()
+    return _signed(xxhash.xxh64_intdigest(raw) >> (64 - bits)), _signed(xxhash.xxh64_intdigest(raw, 1))
 
 
 def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def classes_of(rows: DataFrame, bits: int = NAME_BITS) -> tuple[DataFrame, DataFrame, Names]:
-    """rows (key, more, ...) with keys that no two sets share, their classes (key, first, n, sig, odd), written, and the names that give the keys."""
+def classes_of(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """rows (key, more, ...) with keys that no two sets share, and their classes (key, first, n, sig, odd), written."""
 
     def grouped(named: DataFrame) -> DataFrame:
         one = (F.first(c).alias(c) for c in ("n", "sig", "odd"))
@@ -135,18 +122,15 @@ def classes_of(rows: DataFrame, bits: int = NAME_BITS) -> tuple[DataFrame, DataF
 
     classes = grouped(rows)
     clash = classes.filter("lo < hi").select("key", "lo")
-    other: dict[int, dict[int, int]] = {}
     if not clash.isEmpty():
         found = rows.filter("n > 0").join(clash, "key").filter("more > lo").select("key", "more").distinct()
         found = found.withColumn("own", F.xxhash64("key", "more")).limit(MOST_CLASHES + 1).collect()
         if len(found) > MOST_CLASHES:
             raise ValueError("too many sets share a name")
-        for r in found:
-            other.setdefault(r.key, {})[r.more] = r.own
         table = rows.sparkSession.createDataFrame(found, "key long, more long, own long")
         rows = rows.join(F.broadcast(table), ["key", "more"], "left").withColumn("key", F.coalesce("own", "key")).drop("own")
         classes = grouped(rows)
-    return rows.drop("more"), classes.drop("lo", "hi"), Names(bits, other)
+    return rows.drop("more"), classes.drop("lo", "hi")
 
 
 def buckets(s: np.ndarray) -> np.ndarray:
@@ -188,9 +172,12 @@ def _batches_of(spark: SparkSession, rows: int):
 
 
 def document_rows(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
-    """Rows (doc_id, n, key, more, sig, odd) of all documents, written, and the bucket counts of the corpus."""
+    """Rows (doc_id, n, key, more, sig, odd, set) of all documents, written, and the bucket counts of the corpus.
+
+    The only pass over the texts: what follows reads the sets.
+    """
     size = (1 << BUCKET_BITS) // SLICES
-    names = Names(NAME_BITS)
+    bits = NAME_BITS
 
     def run(batches):
         counts = np.zeros(1 << BUCKET_BITS, dtype=np.int64)
@@ -201,7 +188,7 @@ def document_rows(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
             some = [len(s) > 0 for s in sets]
             if max(map(len, sets), default=0) >> SIZE_BITS:
                 raise ValueError(f"a text has {max(map(len, sets))} shingles")
-            called = [names.both(s) if z else (None, None) for s, z in zip(sets, some)]
+            called = [name_of(s, bits) if z else (None, None) for s, z in zip(sets, some)]
             yield {
                 "doc_id": b["doc_id"],
                 "n": [len(s) for s in sets],
@@ -209,15 +196,16 @@ def document_rows(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
                 "more": [more for _, more in called],
                 "sig": [signature(s) if z else None for s, z in zip(sets, some)],
                 "odd": [parity(s) if z else None for s, z in zip(sets, some)],
+                "set": [s.tobytes() if z else None for s, z in zip(sets, some)],
                 "slice": [None] * len(sets),
                 "counts": [None] * len(sets),
             }
         if counts.any():
             parts = [zlib.compress(counts[i * size : (i + 1) * size].astype("<u4").tobytes(), 1) for i in range(SLICES)]
             none = [None] * SLICES
-            yield {"doc_id": none, "n": none, "key": none, "more": none, "sig": none, "odd": none, "slice": list(range(SLICES)), "counts": parts}
+            yield {"doc_id": none, "n": none, "key": none, "more": none, "sig": none, "odd": none, "set": none, "slice": list(range(SLICES)), "counts": parts}
 
-    rows = materialize(arrow_map(texts(docs), run, "doc_id long, n long, key long, more long, sig binary, odd array<long>, slice int, counts binary"), "shingled", keep=True)
+    rows = materialize(arrow_map(texts(docs), run, "doc_id long, n long, key long, more long, sig binary, odd array<long>, set binary, slice int, counts binary"), "shingled")
 
     def add(batches):
         totals: dict[int, np.ndarray] = {}
@@ -235,24 +223,21 @@ def document_rows(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
     return rows.filter("slice IS NULL").drop("slice", "counts"), total
 
 
-def shared_entries(docs: DataFrame, counts: np.ndarray, names: Names) -> DataFrame:
-    """Rows (token, key, n, pos) of prefixes, written: all whose shingle is in the prefixes of several classes, and few others."""
-    spark = docs.sparkSession
+def shared_entries(rows: DataFrame, counts: np.ndarray) -> DataFrame:
+    """Rows (token, key, n, pos, end) of prefixes, written: all whose shingle is in the prefixes of several classes, and few others."""
+    spark = rows.sparkSession
     table = spark.sparkContext.broadcast(np.minimum(counts, 2**31 - 1).astype(np.int32))
 
     def run(batches):
         seen: set[int] = set()
         for b in batches:
             tokens, keys, places, common = [], [], [], []
-            for t in b["text"]:
-                s = shingles(t)
-                if not len(s):
-                    continue
-                key = names.of(s)
+            for key, raw in zip(b["key"], b["set"]):
                 if key in seen:  # a copy in the same task
                     continue
                 if len(seen) < 1_000_000:
                     seen.add(key)
+                s = np.frombuffer(raw, dtype=_U)
                 p, own = prefix(s, table.value)
                 (at,) = np.nonzero(own > 1)  # a bucket counted once: no other text has it
                 if len(at):
@@ -288,7 +273,7 @@ def shared_entries(docs: DataFrame, counts: np.ndarray, names: Names) -> DataFra
         if held is not None and held[1]:
             yield put(*held[0], np.ones(1, dtype=bool))
 
-    entries = arrow_map(texts(docs), run, "token long, key long, place long, common boolean")
+    entries = arrow_map(rows.filter("n > 0").select("key", "set"), run, "token long, key long, place long, common boolean")
     narrow = "token long, key long, place long"
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     with _batches_of(spark, 512):
@@ -303,44 +288,6 @@ def shared_entries(docs: DataFrame, counts: np.ndarray, names: Names) -> DataFra
     return out.select("token", "key", size.alias("n"), place.alias("pos"), F.shiftright("place", SIZE_BITS + PLACE_BITS).cast("int").alias("end"))
 
 
-def sets_of(docs: DataFrame, firsts: DataFrame, names: Names) -> DataFrame:
-    """Rows (key, first, set), written, at least for the documents in firsts: found in a scan through a bitmap of fixed size."""
-    spark = docs.sparkSession
-    bits = np.zeros(1 << KEY_BITS >> 5, dtype="<u4")
-    bit = firsts.select(F.pmod(F.col("first"), F.lit(1 << KEY_BITS)).alias("bit"))
-    words = bit.groupBy(F.expr("bit >> 5").alias("at")).agg(F.expr("bit_or(shiftleft(1L, cast(bit & 31 AS int)))").alias("bits"))
-    for r in words.collect():  # at most 2 ** KEY_BITS / 32 rows
-        bits[r["at"]] = r["bits"]
-    packed = spark.sparkContext.broadcast(bits.tobytes())
-
-    def run(batches):
-        wanted = np.unpackbits(np.frombuffer(packed.value, dtype=np.uint8), bitorder="little").astype(bool)
-        for b in batches:
-            out = {"key": [], "first": [], "set": []}
-            for doc_id, t in zip(b["doc_id"], b["text"]):
-                s = shingles(t) if wanted[doc_id % (1 << KEY_BITS)] else ()
-                if len(s):
-                    out["key"].append(names.of(s))
-                    out["first"].append(doc_id)
-                    out["set"].append(s.tobytes())
-            if out["key"]:
-                yield out
-
-    return materialize(arrow_map(texts(docs), run, "key long, first long, set binary"), "sets")
-
-
-def _more_sets(docs: DataFrame, pairs: DataFrame, sets: DataFrame | None, names: Names) -> DataFrame:
-    """sets with those that pairs need and that are not there yet; a scan only if there are any."""
-    firsts = pairs.select(F.col("first_a").alias("first")).unionByName(pairs.select(F.col("first_b").alias("first"))).distinct()
-    if sets is None:
-        return sets_of(docs, firsts, names)
-    new = materialize(firsts.join(sets.select("first").distinct(), "first", "left_anti"), "missing")
-    if new.isEmpty():
-        return sets
-    # what the bitmap lets through by chance may be there already
-    return sets.unionByName(sets_of(docs, new, names).join(new, "first", "left_semi"))
-
-
 def _fits(x: str, y: str):
     """Length and positional filter for two entries of one token."""
     n = lambda s: F.col(f"{s}.n")
@@ -487,9 +434,10 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tup
     with scratch(docs.sparkSession):
         docs = texts(docs, id_col, text_col).withColumn("doc_id", F.coalesce("doc_id", F.lit(NO_ID)))
         rows, counts = document_rows(docs)
-        rows, classes, names = classes_of(rows, NAME_BITS)
-        entries = shared_entries(docs, counts, names)
-        sets = components = done = None
+        rows, classes = classes_of(rows)
+        entries = shared_entries(rows, counts)
+        sets = rows.filter("n > 0").select("key", F.col("doc_id").alias("first"), "set")
+        components = done = None
         lists = entries
         for turn in range(PIVOT_ROUNDS + 1):
             if turn < PIVOT_ROUNDS:
@@ -499,17 +447,16 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tup
             if done is not None:
                 pairs = pairs.join(done.select("a", "b"), ["a", "b"], "left_anti")
             pairs = materialize(suffix_filter(pairs, classes), "pairs")
-            sets = _more_sets(docs, pairs, sets, names)
             found = verify(pairs, sets)
             components = components_of(found.filter("linked"), components)
             done = found if done is None else done.unionByName(found)
         named = classes.join(components, "key").groupBy("comp").agg(F.min("first").alias("component_id"))
         named = components.join(named, "comp").select("key", "component_id")
-        owner = materialize(classes.join(named, "key", "left").select("key", F.coalesce("component_id", "first").alias("component_id")), "owners", keep=True)
-    out = rows.filter("n > 0").join(owner, "key").select("doc_id", "n", "key", "component_id")
-    empty = rows.filter("n = 0").select("doc_id", "n", "key", F.col("doc_id").alias("component_id"))
-    back = {c: F.nullif(F.col(c), F.lit(NO_ID)) for c in ("doc_id", "component_id")}
-    return out.unionByName(empty).withColumns(back), done
+        owner = classes.join(named, "key", "left").select("key", F.coalesce("component_id", "first").alias("component_id"))
+        out = rows.filter("n > 0").join(materialize(owner, "owners"), "key").select("doc_id", "n", "key", "component_id")
+        empty = rows.filter("n = 0").select("doc_id", "n", "key", F.col("doc_id").alias("component_id"))
+        back = {c: F.nullif(F.col(c), F.lit(NO_ID)) for c in ("doc_id", "component_id")}
+        return materialize(out.unionByName(empty).withColumns(back), "members", keep=True), done
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
