@@ -18,12 +18,12 @@ def raw(spark, rows):
 
 def row(minute, open_="10", high="11", low="9", close="10.5", volume="100", seq=0):
     stamp = minute if isinstance(minute, str) else str(T0 + timedelta(minutes=minute))
-    return (stamp, " 300661 ", open_, high, low, close, volume, "1000", "0", seq)
+    return (stamp, " 300123 ", open_, high, low, close, volume, "1000", "0", seq)
 
 
 def test_dirty_frame(spark):
     rows = [row(0), row(1, open_="0"), row(2, high="-1"), row(3), row(3, close="10.7"), row("2024-01-02 09:00:00"), row("not a time"), row(4, volume="x"), row(5)]
-    got = B.canonical(raw(spark, rows), "300661").orderBy("datetime").collect()
+    got = B.canonical(raw(spark, rows), "300123").orderBy("datetime").collect()
     assert [r.datetime.minute for r in got] == [31, 32, 34, 36]
     assert all(r.open > 0 and r.price == r.close for r in got)
     assert got[1].open == 10.5 and got[2].close == 10.7  # the bar before donates its close; the last repeat stays
@@ -31,7 +31,7 @@ def test_dirty_frame(spark):
 
 def test_off_session_bar_may_donate(spark):
     rows = [row("2024-01-02 09:30:00", close="8.5"), row(0, open_="0")]
-    assert [r.open for r in B.canonical(raw(spark, rows), "300661").collect()] == [8.5]
+    assert [r.open for r in B.canonical(raw(spark, rows), "300123").collect()] == [8.5]
 
 
 def test_frequency_and_summary(spark):

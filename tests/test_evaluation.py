@@ -4,7 +4,8 @@ from datetime import date, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from tidemill.config import HEADS, WalkForward
+from tidemill.operators.evaluate import HEADS
+from tidemill.operators.walkforward import WalkForward
 from tidemill.operators import daily as D
 from tidemill.operators import decision as C
 from tidemill.operators import evaluate as E

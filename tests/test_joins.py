@@ -29,8 +29,8 @@ def test_overnight_factors(spark):
 
 def test_environment_must_be_unique(spark):
     days = frame(spark, [(date(2026, 1, 1), 1.0)], "date date, close double")
-    with pytest.raises(ValueError):
-        J.with_environment(days, days.union(days), "idx_")
+    with pytest.raises(Exception, match="date is not unique"):
+        J.with_environment(days, days.union(days), "idx_").collect()
 
 
 def test_expected_date_before_and_after_close(spark):
@@ -48,9 +48,9 @@ def test_freshest_source(spark):
 
 
 def test_weekdays_and_symbols(spark):
-    df = frame(spark, [("SZ 300661",), ("661",), ("300661 600000",), ("x",), ("600000.ss",)], "s string")
+    df = frame(spark, [("SZ 300123",), ("123",), ("300123 600000",), ("x",), ("600000.ss",)], "s string")
     got = [tuple(r) for r in df.select(X.symbol("s"), X.exchange_symbol("s")).collect()]
-    assert got[0] == ("300661", "300661.SZ") and got[1][0] == "000661" and got[2][0] is None and got[3][0] is None and got[4] == ("600000", "600000.SS")
+    assert got[0] == ("300123", "300123.SZ") and got[1][0] == "000123" and got[2][0] is None and got[3][0] is None and got[4] == ("600000", "600000.SS")
     d = frame(spark, [(date(2026, 4, 17),), (date(2026, 4, 20),)], "d date").select(X.weekday_after("d"), X.weekday_before("d")).collect()
     assert tuple(d[0]) == (date(2026, 4, 20), date(2026, 4, 16)) and tuple(d[1]) == (date(2026, 4, 21), date(2026, 4, 17))
 

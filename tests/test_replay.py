@@ -5,14 +5,13 @@ from datetime import datetime, timedelta
 
 import pytest
 
-from tidemill.config import ReplayConfig
-from tidemill.operators.replay import replay
+from tidemill.operators.replay import Market, replay
 
 T0 = datetime(2024, 1, 2, 9, 31)
 SCHEMA = "i long, close double, step double, bars array<struct<datetime:timestamp_ntz,high:double,low:double,close:double,volume:double>>"
 
 
-def run(spark, cases, c=ReplayConfig()):
+def run(spark, cases, c=Market()):
     rows = [(i, anchor, step, [(T0 + timedelta(minutes=k), *b) for k, b in enumerate(bars)]) for i, (anchor, step, bars) in enumerate(cases)]
     out = replay(spark.createDataFrame(rows, SCHEMA), "bars", "close", "step", c).orderBy("i").collect()
     return [r.replay for r in out]
@@ -25,25 +24,25 @@ def plain(anchor, step, bars, c):
 
     def end(price):
         if side > 0:
-            p = price * (1 - c.slippage)
-            return (p - entry) * qty - cost - p * qty * (c.commission + c.stamp_tax)
-        p = price * (1 + c.slippage)
-        return (entry - p) * qty - cost - p * qty * c.commission
+            p = price * (1 - c.slip)
+            return (p - entry) * qty - cost - p * qty * (c.fee + c.sales_tax)
+        p = price * (1 + c.slip)
+        return (entry - p) * qty - cost - p * qty * c.fee
 
     for high, low, close, volume in bars:
         if side == 0:
             b, s = low <= buy, high >= sell
             if not (b or s):
                 continue
-            q = min(c.order_size, int(volume * c.participation) // c.lot * c.lot) if volume > 0 else 0
+            q = min(c.order, int(volume * c.share_of_bar) // c.lot * c.lot) if volume > 0 else 0
             if q <= 0:
                 skipped += 1
                 continue
             both += b and s
-            long = (close - buy * (1 + c.slippage) <= sell * (1 - c.slippage) - close) if b and s else b
+            long = (close - buy * (1 + c.slip) <= sell * (1 - c.slip) - close) if b and s else b
             side, qty = (1 if long else -1), q
-            entry = buy * (1 + c.slippage) if long else sell * (1 - c.slippage)
-            cost = entry * q * (c.commission if long else c.commission + c.stamp_tax)
+            entry = buy * (1 + c.slip) if long else sell * (1 - c.slip)
+            cost = entry * q * (c.fee if long else c.fee + c.sales_tax)
             longs += long
             shorts += not long
             filled += q
@@ -72,7 +71,7 @@ def test_against_a_plain_loop(spark):
             spread = abs(rng.gauss(0, 0.02))
             bars.append((price * (1 + spread), price * (1 - spread), price, rng.choice([0.0, 500.0, 3000.0, 50000.0])))
         cases.append((100.0, rng.choice([0.008, 0.02, 0.035]), bars))
-    c = ReplayConfig()
+    c = Market()
     for got, case in zip(run(spark, cases, c), cases):
         want = plain(*case, c)
         assert got.grid_pnl_cash == pytest.approx(want[0], abs=1e-9)

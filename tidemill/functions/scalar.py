@@ -72,12 +72,13 @@ def weekday_before(d) -> Column:
     return F.date_sub(col(d), F.when(w == 0, 3).when(w == 6, 2).otherwise(1))
 
 
-def symbol(x) -> Column:
-    """The one six-digit code in a text, else its digits filled up to six; missing where neither is clear."""
+def symbol(x, strict: bool = False) -> Column:
+    """The one six-digit code in a text, else its digits filled up to six; missing where neither is clear, or an error if strict."""
     text = F.trim(col(x))
     found = F.array_distinct(F.regexp_extract_all(text, F.lit(r"(?<![0-9])([0-9]{6})(?![0-9])"), F.lit(1)))
     digits = F.regexp_replace(text, "[^0-9]", "")
-    return F.when(F.size(found) == 1, found[0]).when((F.size(found) == 0) & F.length(digits).between(1, 6), F.lpad(digits, 6, "0"))
+    clear = F.when(F.size(found) == 1, found[0]).when((F.size(found) == 0) & F.length(digits).between(1, 6), F.lpad(digits, 6, "0"))
+    return F.coalesce(clear, F.raise_error(F.concat(F.lit("no clear symbol: "), text)).cast("string")) if strict else clear
 
 
 def exchange_symbol(x) -> Column:

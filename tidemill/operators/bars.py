@@ -72,12 +72,30 @@ def expected_bars(seconds: Column) -> Column:
     return F.when(FULL_DAY_SECONDS % seconds == 0, (FULL_DAY_SECONDS / seconds).cast("int"))
 
 
-def from_ticks(ticks: DataFrame, unit: str = "hour") -> DataFrame:
-    """Bars of a unit of time from ticks with a positive price."""
-    by = F.struct("datetime", "seq")
+#: Bits of a tick's number within its microsecond and hour, packed below the microseconds of the hour.
+SEQ_BITS = 31
+
+
+def tick_order(bar: Column, seq_bits: int | None = SEQ_BITS) -> Column:
+    """What orders the ticks of a bar of an hour at most: one integer, so that aggregates hash instead of sorting.
+
+    A number of a tick beyond the bits is an error; with seq_bits=None a struct orders, at the price of a sort.
+    """
+    if seq_bits is None:
+        return F.struct("datetime", "seq")
+    packed = F.timestamp_diff("MICROSECOND", bar, F.col("datetime")) * (1 << seq_bits) + F.col("seq")
+    return F.when(F.col("seq").between(0, (1 << seq_bits) - 1), packed).otherwise(F.raise_error(F.lit("a tick's number needs more bits: seq_bits=None")))
+
+
+def from_ticks(ticks: DataFrame, unit: str = "hour", minutes: int | None = None, seq_bits: int | None = SEQ_BITS) -> DataFrame:
+    """Bars of a unit of time (an hour at most, unless seq_bits is None), or of some minutes that divide an hour, from ticks with a positive price."""
+    bar = F.date_trunc("hour" if minutes else unit, "datetime").cast("timestamp_ntz")
+    if minutes:
+        bar = bar + F.make_dt_interval(mins=(F.floor(F.minute("datetime") / minutes) * minutes).cast("int"))
+    by = tick_order(bar, seq_bits if unit.lower() in ("hour", "minute", "second") else None)
     return (
         ticks.filter("price > 0")
-        .groupBy("code", "date", F.date_trunc(unit, "datetime").cast("timestamp_ntz").alias("bar"))
+        .groupBy("code", "date", bar.alias("bar"))
         .agg(
             F.min_by("price", by).alias("open"),
             F.max("price").alias("high"),
@@ -154,6 +172,26 @@ def bars_per_day(bars: DataFrame) -> DataFrame:
     return bars.groupBy("code", "date").agg(F.count("*").alias("n")).groupBy("code").agg(F.avg("n").alias("mean_bars"), F.min("n").alias("min_bars"), F.max("n").alias("max_bars"))
 
 
+def complete(df: DataFrame, *columns: str) -> DataFrame:
+    """Rows without a missing value in the columns."""
+    return df.dropna(subset=list(columns))
+
+
+def between(df: DataFrame, first, last, column: str = "date") -> DataFrame:
+    """Rows of a range of dates, both ends included; on stored tables the range reaches the scan."""
+    return df.filter(F.col(column).between(F.lit(first), F.lit(last)))
+
+
+def in_chunks(chunks: list[DataFrame], key: tuple[str, ...]) -> DataFrame:
+    """The union of chunks that may overlap: of a key, the row of the last chunk stays."""
+    both = [c.withColumn("_chunk", F.lit(k)) for k, c in enumerate(chunks)]
+    out = both[0]
+    for c in both[1:]:
+        out = out.unionByName(c)
+    order = Window.partitionBy(*key).orderBy(F.col("_chunk").desc(), F.col("seq").desc())
+    return out.withColumn("_n", F.row_number().over(order)).filter("_n = 1").drop("_n", "_chunk")
+
+
 def patch_zero_open(df: DataFrame) -> DataFrame:
     """An open of exactly zero is the close."""
     return df.withColumn("open", F.when(F.col("open") == 0, F.col("close")).otherwise(F.col("open")))

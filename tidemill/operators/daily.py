@@ -2,13 +2,24 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..config import ReplayConfig
 from ..functions.scalar import clip, ratio
 
 
+@dataclass(frozen=True)
+class GridStep:
+    """Fixed values (W5, W6): a share of the mean true range of some days, held in bounds; fewer than enough days have no mean."""
+
+    share: float = 0.4
+    bounds: tuple[float, float] = (0.008, 0.035)
+    days: int = 20
+    enough: int = 5
+
+
 def days(code: str = "code"):
     return Window.partitionBy(code).orderBy("date")
 
@@ -33,24 +44,24 @@ def true_range(df: DataFrame) -> DataFrame:
     return df.withColumn("true_range", F.greatest(F.abs(F.col("high") - F.col("low")), F.abs(F.col("high") - before), F.abs(F.col("low") - before)))
 
 
-def _atr(c: ReplayConfig) -> Column:
-    w = trailing(c.atr_window)
-    return F.when(F.count("true_range").over(w) >= c.atr_min_periods, F.avg("true_range").over(w))
+def _atr(g: GridStep) -> Column:
+    w = trailing(g.days)
+    return F.when(F.count("true_range").over(w) >= g.enough, F.avg("true_range").over(w))
 
 
-def grid_step(df: DataFrame, c: ReplayConfig = ReplayConfig()) -> DataFrame:
+def grid_step(df: DataFrame, g: GridStep = GridStep()) -> DataFrame:
     """atr (an expanding mean until the window has enough days), atr_pct, grid_step_pct: for features."""
     ever = F.avg("true_range").over(days().rowsBetween(Window.unboundedPreceding, 0))
-    df = true_range(df).withColumn("atr", F.coalesce(_atr(c), ever)).withColumn("atr_pct", ratio("atr", "close"))
-    return df.withColumn("grid_step_pct", clip(F.col("atr_pct") * c.atr_multiplier, c.min_step, c.max_step))
+    df = true_range(df).withColumn("atr", F.coalesce(_atr(g), ever)).withColumn("atr_pct", ratio("atr", "close"))
+    return df.withColumn("grid_step_pct", clip(F.col("atr_pct") * g.share, *g.bounds))
 
 
-def label_step(df: DataFrame, c: ReplayConfig = ReplayConfig()) -> DataFrame:
+def label_step(df: DataFrame, g: GridStep = GridStep()) -> DataFrame:
     """As grid_step for labels: without the expanding mean; a mean of five daily ranges, then the least step, stand in."""
     df = true_range(df).withColumn("daily_range_pct", F.when(F.col("close") > 0, (F.col("high") - F.col("low")) / F.col("close")))
-    df = df.withColumn("atr", _atr(c)).withColumn("atr_pct", F.when(F.col("close") > 0, F.col("atr") / F.col("close")))
-    instead = clip(F.avg("daily_range_pct").over(trailing(5)) * c.atr_multiplier, c.min_step, c.max_step)
-    return df.withColumn("grid_step_pct", F.coalesce(clip(F.col("atr_pct") * c.atr_multiplier, c.min_step, c.max_step), instead, F.lit(c.min_step)))
+    df = df.withColumn("atr", _atr(g)).withColumn("atr_pct", F.when(F.col("close") > 0, F.col("atr") / F.col("close")))
+    instead = clip(F.avg("daily_range_pct").over(trailing(5)) * g.share, *g.bounds)
+    return df.withColumn("grid_step_pct", F.coalesce(clip(F.col("atr_pct") * g.share, *g.bounds), instead, F.lit(g.bounds[0])))
 
 
 def averages(df: DataFrame) -> DataFrame:

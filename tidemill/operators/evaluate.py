@@ -2,10 +2,31 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..config import THRESHOLDS, HeadRule
+
+
+@dataclass(frozen=True)
+class HeadRule:
+    """How a head's threshold is chosen: recall's weight, the least precision, the most positives as a multiple of the labels' rate."""
+
+    beta: float
+    precision_floor: float
+    rate_multiplier: float
+
+
+#: Fixed values (M10): the classification heads' rules, and the thresholds that are tried.
+HEADS = {
+    "positive_grid_day": HeadRule(1.5, 0.25, 1.75),
+    "tradable": HeadRule(1.5, 0.25, 1.75),
+    "trend_break_risk": HeadRule(3.0, 0.10, 3.00),
+    "hostile_selloff_risk": HeadRule(2.5, 0.15, 2.50),
+    "vwap_reversion": HeadRule(1.5, 0.20, 1.80),
+}
+THRESHOLDS = tuple(k / 100 for k in range(10, 65, 5))
 
 
 def average_rank(x: str, *key: str) -> Column:
@@ -83,11 +104,15 @@ def choose_threshold(df: DataFrame, truth: str, score: str, rule: HeadRule, *key
 
     With one class only: 0.5, constraints not met.
     """
+    return _chosen(df, truth, score, {k: F.lit(getattr(rule, k)) for k in ("beta", "precision_floor", "rate_multiplier")}, key, grid)
+
+
+def _chosen(df: DataFrame, truth: str, score: str, rule: dict[str, Column], key: tuple[str, ...], grid: tuple[float, ...]) -> DataFrame:
     at = df.withColumn("threshold", F.explode(F.array(*(F.lit(t) for t in grid))))
     counts = at.groupBy(*key, "threshold").agg(*(v.alias(k) for k, v in confusion(truth, F.col(score) >= F.col("threshold")).items()))
-    rates = with_rates(counts, F.lit(rule.beta))
-    least = F.greatest(F.lit(rule.precision_floor), F.col("label_rate") * 0.75)
-    most = F.greatest(F.col("label_rate") * rule.rate_multiplier, F.col("label_rate") + 0.05)
+    rates = with_rates(counts, rule["beta"])
+    least = F.greatest(rule["precision_floor"], F.col("label_rate") * 0.75)
+    most = F.greatest(F.col("label_rate") * rule["rate_multiplier"], F.col("label_rate") + 0.05)
     rates = rates.withColumn("meets", (F.col("precision") >= least) & (F.col("positive_rate") <= most))
     order = F.struct("meets", "f_beta", "recall", "precision", (-F.abs(F.col("positive_rate") - F.col("label_rate"))).alias("near"), "threshold")
     best = rates.groupBy(*key).agg(F.max_by(F.struct("threshold", "precision", "recall", "f_beta", "meets"), order).alias("b"), F.first("label_rate").alias("label_rate"))
@@ -95,6 +120,12 @@ def choose_threshold(df: DataFrame, truth: str, score: str, rule: HeadRule, *key
     return best.select(*key, "label_rate", F.when(single, 0.5).otherwise(F.col("b.threshold")).alias("threshold"), "b.precision", "b.recall", "b.f_beta", (F.col("b.meets") & ~single).alias("meets"))
 
 
+def choose_thresholds(df: DataFrame, truth: str, score: str, rules: dict[str, HeadRule], head: str, *key: str) -> DataFrame:
+    """choose_threshold for rows of several heads, each by its own rule, in one pass over the rows."""
+    rule = {k: F.create_map(*(F.lit(x) for h, r in rules.items() for x in (h, float(getattr(r, k)))))[F.col(head)] for k in ("beta", "precision_floor", "rate_multiplier")}
+    return _chosen(df, truth, score, rule, (head, *key), THRESHOLDS)
+
+
 def score_bucket(x: str, buckets: int, order: tuple[str, ...], *key: str) -> Column:
     """Equal-count buckets of ranks (ties by order): as quantiles of 1..n cut them, which is not ntile. Missing stays missing."""
     here = F.col(x).isNotNull()

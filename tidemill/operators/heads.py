@@ -7,8 +7,9 @@ from __future__ import annotations
 
 import json
 import math
+import os
 import shutil
-import tempfile
+import uuid
 from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 from pathlib import Path
@@ -22,9 +23,8 @@ from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import HeadRule
-from ..sources.sinks import write_json
-from .evaluate import choose_threshold
+from ..sources.sinks import work_path, write_json
+from .evaluate import HeadRule, choose_threshold
 
 #: Columns that look ahead begin with one of these.
 AHEAD = ("next_", "target_", "replay_")
@@ -81,9 +81,9 @@ class Head:
 
 
 def _cut_lineage(spark: SparkSession) -> None:
-    """Boosting cuts its lineage every ten trees only where there is a folder for checkpoints; a local one where none is set."""
+    """Boosting cuts its lineage every ten trees only where there is a folder for checkpoints."""
     if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="tidemill-"))
+        spark.sparkContext.setCheckpointDir(work_path(spark, "checkpoints"))
 
 
 def fit_regressor(df: DataFrame, columns: tuple[str, ...], target: str, c: TreeConfig = TreeConfig()) -> Head:
@@ -157,15 +157,25 @@ def load(folder: str) -> dict[str, Head]:
 
 
 def promote(candidate: str, production: str, stamp: str) -> None:
-    """A candidate's models and metadata become production's. Everything is checked before anything is deleted."""
+    """A candidate's models and metadata become production's (local or mounted folders). They are copied beside production
+    and take its name then, so a copy that fails leaves production as it was."""
     if Path(candidate).resolve() == Path(production).resolve():
         raise ValueError("candidate and production are the same folder")
     meta = json.loads((Path(candidate) / "metadata.json").read_text(encoding="utf-8"))
     missing = [m["path"] for m in meta["heads"].values() if not Path(m["path"]).exists()]
     if missing:
         raise FileNotFoundError(f"missing models: {', '.join(missing)}")
-    shutil.rmtree(production, ignore_errors=True)
-    for name, m in meta["heads"].items():
-        shutil.copytree(m["path"], Path(production) / name)
-        m["path"] = f"{production}/{name}"
-    write_json(Path(production) / "metadata.json", meta | {"promoted_from": str(candidate), "promoted_at": stamp})
+    target = Path(production)
+    fresh, old = (target.with_name(f".{target.name}-{x}-{uuid.uuid4().hex}") for x in ("new", "old"))
+    try:
+        for name, m in meta["heads"].items():
+            shutil.copytree(m["path"], fresh / name)
+            m["path"] = f"{production}/{name}"
+        write_json(fresh / "metadata.json", meta | {"promoted_from": str(candidate), "promoted_at": stamp})
+    except BaseException:
+        shutil.rmtree(fresh, ignore_errors=True)
+        raise
+    if target.exists():
+        os.rename(target, old)
+    os.rename(fresh, target)
+    shutil.rmtree(old, ignore_errors=True)

@@ -8,17 +8,16 @@ from pyspark.sql import functions as F
 from ..functions.scalar import flag, gap_risk_bucket, ratio, weekday_after
 
 
-def assert_unique(df: DataFrame, *key: str) -> DataFrame:
-    """Raises where a key repeats; a small aggregate runs for it."""
-    if df.groupBy(*key).agg(F.count("*").alias("n")).filter("n > 1").limit(1).count():
-        raise ValueError(f"{', '.join(key)} is not unique")
-    return df
+def unique(df: DataFrame, *key: str) -> DataFrame:
+    """df; an action on it fails where a key repeats. Rows are counted by key as they are read, without a job of its own."""
+    message = F.lit(f"{', '.join(key)} is not unique")
+    return df.withColumn("_n", F.count("*").over(Window.partitionBy(*key))).filter(F.assert_true(F.col("_n") == 1, message).isNull()).drop("_n")
 
 
-def with_environment(df: DataFrame, environment: DataFrame, prefix: str, on: str = "date", check: bool = True) -> DataFrame:
-    """Left join of a daily environment under a prefix. A day occurs once in the environment, or it is an error."""
+def with_environment(df: DataFrame, environment: DataFrame, prefix: str = "", on: str = "date", check: bool = True) -> DataFrame:
+    """Left join of a daily environment under a prefix. A day occurs once in the environment, or an action fails."""
     if check:
-        assert_unique(environment, on)
+        environment = unique(environment, on)
     named = environment.select(on, *(F.col(c).alias(f"{prefix}{c}") for c in environment.columns if c != on))
     return df.join(named, on, "left")
 
@@ -41,52 +40,47 @@ def environment_features(days: DataFrame) -> DataFrame:
 
 
 def relative_spreads(df: DataFrame, weakness: float) -> DataFrame:
-    """Spreads of returns, gaps and distances to the average against idx_ and sec_ columns, with flags."""
+    """Spreads of returns, gaps and distances to the average against idx_ and sec_ columns, with flags; for what is there."""
     out = {}
-    for e, name in (("idx", "index"), ("sec", "sector")):
+    here = [(e, name) for e, name in (("idx", "index"), ("sec", "sector")) if f"{e}_daily_return" in df.columns]
+    for e, name in here:
         out[f"stk_{e}_return_spread"] = F.col("daily_return") - F.col(f"{e}_daily_return")
         out[f"stk_{e}_gap_spread"] = F.col("gap_pct") - F.col(f"{e}_gap_pct")
         out[f"stk_{e}_close_to_ma20_spread"] = F.col("close_to_ma20") - F.col(f"{e}_close_to_ma20")
         out[f"flag_relative_weak_vs_{e}"] = flag(F.col("daily_return") - F.col(f"{e}_daily_return") <= -weakness)
         out[f"flag_gap_up_without_{name}_confirmation"] = flag((F.col("gap_pct") > 0) & (F.col(f"{e}_gap_pct") <= 0))
-    out["idx_sec_return_spread"] = F.col("idx_daily_return") - F.col("sec_daily_return")
-    out["idx_sec_gap_spread"] = F.col("idx_gap_pct") - F.col("sec_gap_pct")
-    return df.withColumns(out)
+    if len(here) == 2:
+        out["idx_sec_return_spread"] = F.col("idx_daily_return") - F.col("sec_daily_return")
+        out["idx_sec_gap_spread"] = F.col("idx_gap_pct") - F.col("sec_gap_pct")
+    return df.withColumns(out) if out else df
 
 
 def next_session(sessions: DataFrame, calendar: DataFrame, column: str = "session") -> DataFrame:
     """Forward as-of join: each session's first calendar date after it, as trade_date; sessions beyond the calendar leave.
 
-    The two columns are merged and a look-ahead over later rows finds the date: a sort within months of
-    dates, not a range join.  A month's sessions without a later date of their own take the first date of
-    the months behind, which is one row a month.
+    Sessions and calendar are merged and walked from the last day on, the calendar dates so far at hand: a sort, not a
+    range join.  Both have a row a day, so one task holds some hundred rows for a year whatever the data.
     """
     both = sessions.select("*", F.col(column).alias("_at"), F.lit(0).alias("_calendar")).unionByName(
-        calendar.select(F.col("date").alias("_at"), F.lit(1).alias("_calendar")).distinct(), allowMissingColumns=True
+        calendar.select(F.col("date").alias("_at"), F.lit(1).alias("_calendar")), allowMissingColumns=True
     )
-    both = both.withColumn("_month", F.trunc("_at", "month"))
-    starts = both.filter("_calendar = 1").groupBy("_month").agg(F.min("_at").alias("_first"))
-    months = both.select("_month").distinct().join(starts, "_month", "left")
-    behind = Window.partitionBy(F.lit(0)).orderBy("_month").rowsBetween(1, Window.unboundedFollowing)
-    months = months.select("_month", F.min("_first").over(behind).alias("_behind"))
     numbered = both.withColumn("_day", F.datediff("_at", F.lit("1970-01-01").cast("date")))
-    later = Window.partitionBy("_month").orderBy("_day").rangeBetween(1, Window.unboundedFollowing)
-    found = numbered.withColumn("_next", F.min(F.when(F.col("_calendar") == 1, F.col("_at"))).over(later)).filter("_calendar = 0")
-    found = found.join(months, "_month").withColumn("trade_date", F.coalesce("_next", "_behind")).filter("trade_date IS NOT NULL")
-    return found.select(*sessions.columns, "trade_date")
+    later = Window.partitionBy(F.lit(0)).orderBy(F.col("_day").desc()).rangeBetween(Window.unboundedPreceding, -1)
+    found = numbered.withColumn("trade_date", F.min(F.when(F.col("_calendar") == 1, F.col("_at"))).over(later))
+    return found.filter("_calendar = 0 AND trade_date IS NOT NULL").select(*sessions.columns, "trade_date")
 
 
 def overnight_factors(first: DataFrame, second: DataFrame, calendar: DataFrame) -> DataFrame:
-    """Returns of two foreign series on the domestic days after their sessions; of several sessions of a day, the latest."""
+    """Returns of two foreign series on the domestic days after their sessions; of several sessions of a day, the latest.
 
-    def mapped(df: DataFrame, name: str) -> DataFrame:
-        w = Window.partitionBy(F.lit(0)).orderBy("session")
-        change = df.withColumn("r", ratio("close", F.lag("close").over(w)) - 1).filter("r IS NOT NULL")
-        at = next_session(change.select("session", "r"), calendar)
-        return at.groupBy(F.col("trade_date").alias("date")).agg(F.max_by("r", "session").alias(name))
-
-    both = mapped(first, "a").join(mapped(second, "b"), "date")
-    return both.select(
+    Both series go through one window of changes, one as-of join and one aggregate.
+    """
+    both = first.select("session", "close", F.lit("a").alias("series")).unionByName(second.select("session", "close", F.lit("b").alias("series")))
+    before = F.lag("close").over(Window.partitionBy("series").orderBy("session"))
+    moved = both.withColumn("r", ratio("close", before) - 1).filter("r IS NOT NULL").select("series", "session", "r")
+    last = lambda k: F.max_by(F.when(F.col("series") == k, F.col("r")), F.when(F.col("series") == k, F.col("session")))
+    days = next_session(moved, calendar.distinct()).groupBy(F.col("trade_date").alias("date")).agg(last("a").alias("a"), last("b").alias("b"))
+    return days.filter("a IS NOT NULL AND b IS NOT NULL").select(
         "date",
         F.col("a").alias("overnight_first_return"),
         F.col("b").alias("overnight_second_return"),
@@ -104,11 +98,15 @@ def next_trading_day(days: DataFrame, calendar: DataFrame, limit: int = 30) -> D
     return days.join(hit, "date", "left").select(*days.columns, F.coalesce("_next", weekday_after("date")).alias("next_date"))
 
 
-def previous_trading_day(days: DataFrame, calendar: DataFrame, limit: int = 30) -> DataFrame:
-    """previous_date: the last calendar date within limit days before date; missing if there is none."""
+def previous_trading_day(days: DataFrame, calendar: DataFrame, limit: int = 30, strict: bool = False) -> DataFrame:
+    """previous_date: the last calendar date within limit days before date; missing if there is none, or an error if strict."""
     back = days.withColumn("_try", F.explode(F.sequence(F.date_sub("date", limit), F.date_sub("date", 1))))
     hit = back.join(calendar.select(F.col("date").alias("_try")).distinct(), "_try", "left_semi").groupBy("date").agg(F.max("_try").alias("previous_date"))
-    return days.join(hit, "date", "left")
+    found = days.join(hit, "date", "left")
+    if strict:
+        message = F.concat(F.lit(f"no trading day within {limit} days before "), F.col("date").cast("string"))
+        found = found.withColumn("previous_date", F.coalesce("previous_date", F.raise_error(message).cast("date")))
+    return found
 
 
 def expected_date(now: DataFrame, calendar: DataFrame, close_hour: int = 15) -> DataFrame:

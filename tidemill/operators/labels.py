@@ -2,13 +2,66 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..config import LabelConfig, ReplayConfig
 from ..functions.scalar import change, int_flag, ratio
 from . import intraday as I
-from .replay import replay
+from .replay import Market, replay
+
+
+@dataclass(frozen=True)
+class LabelBars:
+    """How many bars a label looks at (fixed values of L4, L5, L7 for days of 240 bars)."""
+
+    ahead: int = 30
+    opening: int = 15
+    early: int = 30
+    late: int = 60
+
+
+#: For days of at most 24 hourly bars.
+HOURLY = LabelBars(ahead=12, opening=4, early=6, late=12)
+
+
+@dataclass(frozen=True)
+class Reversion:
+    """Fixed values (L4). An event is a gap that counts; it succeeds where enough of it is captured (a move, and in costs
+    of a round trip) and little is left (a gap, and a share of the first); the label asks for successes, a capture, crosses
+    and no side that rules the day."""
+
+    gap: float = I.LARGE_GAP
+    capture: float = 0.005
+    costs: float = 1.25
+    left: float = 0.003
+    captured_share: float = 0.60
+    successes: int = 2
+    best_capture: float = 0.011
+    crosses: int = 3
+    side: float = 0.85
+
+
+@dataclass(frozen=True)
+class OneWay:
+    """Bounds of a day that runs one way: of range and path efficiency, opening move and volume, the ruling side, crosses."""
+
+    range: float
+    path: float
+    opening: float
+    volume: float
+    side: float
+    crosses: int
+
+
+#: Fixed values (L6): the strict signature, the terms of the soft score, the move that counts (a share, and in grid steps),
+#: where in the range the close lies, and what the soft label asks for.
+STRICT = OneWay(range=0.55, path=0.32, opening=0.008, volume=0.14, side=0.70, crosses=6)
+SOFT = OneWay(range=0.35, path=0.12, opening=0.004, volume=0.08, side=0.60, crosses=12)
+MOVE = (0.015, 1.25)
+CLOSE_AT = 0.80
+SOFT_LABEL = {"side": 0.84, "crosses": 6, "path": 0.12, "points": 8}
 
 
 def price_targets(df: DataFrame) -> DataFrame:
@@ -56,20 +109,20 @@ def describe(df: DataFrame, columns: tuple[str, ...]) -> DataFrame:
     return df.agg(*(one(c).alias(c) for c in columns)).select(F.explode(F.array(*columns)).alias("s")).select("s.*")
 
 
-def day_stats(bars: DataFrame, lc: LabelConfig, rc: ReplayConfig) -> DataFrame:
+def day_stats(bars: DataFrame, parts: LabelBars = LabelBars(), market: Market = Market(), x: Reversion = Reversion()) -> DataFrame:
     """What the labels need of a day's bars: one row for each code and day."""
     df = I.running_gap(I.numbered(bars))
     w = I.ordered()
-    ahead = w.rowsBetween(1, lc.reversion_bars)
+    ahead = w.rowsBetween(1, parts.ahead)
     gap, sign = F.col("gap"), F.signum("gap")
     before = F.lag("gap").over(w)
-    held = F.coalesce((F.abs(before) >= lc.reversion_gap) & (F.signum(before) == sign), F.lit(False))
+    held = F.coalesce((F.abs(before) >= x.gap) & (F.signum(before) == sign), F.lit(False))
     nearest = F.min(F.abs(gap)).over(ahead)
     cross = F.when(gap > 0, F.min(sign).over(ahead) < 0).when(gap < 0, F.max(sign).over(ahead) > 0)
-    event = (F.abs(gap) >= lc.reversion_gap) & ~held & nearest.isNotNull()
-    least = max(lc.reversion_capture, 1.25 * (2 * rc.slippage + 2 * rc.commission + rc.stamp_tax))
+    event = (F.abs(gap) >= x.gap) & ~held & nearest.isNotNull()
+    least = max(x.capture, x.costs * market.round_trip())
     df = df.withColumns({"crossed": I.crosses(), "event": F.coalesce(event, F.lit(False)), "capture": F.abs(gap) - nearest, "nearest": nearest, "other_side": F.coalesce(cross, F.lit(False))})
-    settled = F.col("other_side") | (F.col("nearest") <= F.greatest(F.lit(lc.reversion_residual), F.abs("gap") * (1 - lc.reversion_capture_ratio)))
+    settled = F.col("other_side") | (F.col("nearest") <= F.greatest(F.lit(x.left), F.abs("gap") * (1 - x.captured_share)))
     no, n = F.col("bar_no"), F.col("n")
     of = lambda cond, x: F.when(cond, F.col(x))
     share = lambda cond: F.coalesce(F.avg(F.when(gap.isNotNull(), cond.cast("double"))), F.lit(0.0))
@@ -79,11 +132,11 @@ def day_stats(bars: DataFrame, lc: LabelConfig, rc: ReplayConfig) -> DataFrame:
         F.first("last_close").alias("c"),
         F.max("high").alias("h"),
         F.min("low").alias("l"),
-        F.max(of(no == F.least(F.lit(lc.open_bars), n), "close")).alias("opening_close"),
-        ratio(F.sum(of(no <= lc.open_bars, "volume")), F.sum("volume")).alias("opening_volume_ratio"),
+        F.max(of(no == F.least(F.lit(parts.opening), n), "close")).alias("opening_close"),
+        ratio(F.sum(of(no <= parts.opening, "volume")), F.sum("volume")).alias("opening_volume_ratio"),
         F.sum(F.abs(F.col("close") - F.col("prev"))).alias("path"),
-        F.min(of(no <= lc.early_bars, "low")).alias("early_low"),
-        F.min(of(no <= lc.late_bars, "low")).alias("late_low"),
+        F.min(of(no <= parts.early, "low")).alias("early_low"),
+        F.min(of(no <= parts.late, "low")).alias("late_low"),
         (F.min_by("bar_no", F.struct("low", "bar_no")) - 1).alias("low_index"),
         F.coalesce(F.sum("crossed"), F.lit(0)).cast("long").alias("cross_count"),
         share(gap > 0).alias("above"),
@@ -96,27 +149,27 @@ def day_stats(bars: DataFrame, lc: LabelConfig, rc: ReplayConfig) -> DataFrame:
     )
 
 
-def label_table(days: DataFrame, bars: DataFrame, lc: LabelConfig, rc: ReplayConfig) -> DataFrame:
+def label_table(days: DataFrame, bars: DataFrame, parts: LabelBars = LabelBars(), market: Market = Market(), least_trips: int = 1) -> DataFrame:
     """days: code, date, close, grid_step_pct. One row for each day whose next day has bars, with all labels."""
     order = Window.partitionBy("code").orderBy("date")
     today = days.withColumn("next_date", F.lead("date").over(order)).filter("next_date IS NOT NULL").select("code", "date", "next_date", "close", "grid_step_pct")
-    stats = day_stats(bars, lc, rc).withColumnRenamed("date", "next_date")
+    stats = day_stats(bars, parts, market).withColumnRenamed("date", "next_date")
     df = today.join(stats, ["code", "next_date"])
     df = df.withColumns({"next_open": F.col("o"), "next_high": F.col("h"), "next_low": F.col("l")})
-    df = replay(anomaly_flags(price_targets(df)), "bars", "close", "grid_step_pct", rc).drop("bars")
+    df = replay(anomaly_flags(price_targets(df)), "bars", "close", "grid_step_pct", market).drop("bars")
     df = df.select("*", "replay.*").drop("replay")
     df = df.withColumn("positive_grid_day", int_flag(F.col("grid_pnl") > 0))
-    df = df.withColumn("tradable", int_flag((F.col("grid_pnl") > 0) & (F.col("round_trips") >= rc.min_round_trips)))
-    return selloff(trend_break(vwap_reversion(df, lc), lc), lc)
+    df = df.withColumn("tradable", int_flag((F.col("grid_pnl") > 0) & (F.col("round_trips") >= least_trips)))
+    return selloff(trend_break(vwap_reversion(df)), parts)
 
 
-def vwap_reversion(df: DataFrame, lc: LabelConfig) -> DataFrame:
+def vwap_reversion(df: DataFrame, x: Reversion = Reversion()) -> DataFrame:
     df = df.withColumn("side_ratio", F.greatest("above", "below"))
-    hit = (F.col("success_count") >= lc.reversion_successes) & (F.col("max_capture") >= lc.reversion_label_capture) & (F.col("cross_count") >= lc.reversion_crosses) & (F.col("side_ratio") <= lc.reversion_side)
+    hit = (F.col("success_count") >= x.successes) & (F.col("max_capture") >= x.best_capture) & (F.col("cross_count") >= x.crosses) & (F.col("side_ratio") <= x.side)
     return df.withColumn("vwap_reversion", int_flag(hit))
 
 
-def trend_break(df: DataFrame, lc: LabelConfig) -> DataFrame:
+def trend_break(df: DataFrame) -> DataFrame:
     """A day that runs one way: a strict signature, or a soft one of scores, where the grid would not have paid."""
     width = F.col("h") - F.col("l")
     df = df.withColumns({
@@ -125,62 +178,62 @@ def trend_break(df: DataFrame, lc: LabelConfig) -> DataFrame:
         "close_location": F.when(width > 0, (F.col("c") - F.col("l")) / width).otherwise(0.5),
         "directional_efficiency": F.when(width > 0, F.abs(F.col("c") - F.col("o")) / width).otherwise(0.0),
         "path_efficiency": F.when(F.col("o") > 0, F.when(F.col("path") > 0, F.abs(F.col("c") - F.col("o")) / F.col("path")).otherwise(0.0)),
-        "least_move": F.greatest(F.lit(lc.trend_move), F.col("grid_step_pct") * lc.trend_step),
+        "least_move": F.greatest(F.lit(MOVE[0]), F.col("grid_step_pct") * MOVE[1]),
         "hostile_context": int_flag((F.col("tradable") == 0) | (F.col("vwap_reversion") == 0)),
     })
     df = df.withColumn("trend_direction", F.coalesce(F.signum("open_close_return"), F.lit(0.0)).cast("int"))
     up = F.col("trend_direction")
-    extreme = F.when(up > 0, F.col("close_location") >= lc.trend_location).when(up < 0, F.col("close_location") <= 1 - lc.trend_location).otherwise(False)
+    extreme = F.when(up > 0, F.col("close_location") >= CLOSE_AT).when(up < 0, F.col("close_location") <= 1 - CLOSE_AT).otherwise(False)
     aligned = lambda least: (F.abs("opening_return") >= least) & (F.signum("opening_return") == up)
     moved = F.abs("open_close_return") >= F.col("least_move")
     terms = [
         up != 0,
         moved,
-        F.col("directional_efficiency") >= lc.trend_soft_efficiency,
-        F.col("path_efficiency") >= lc.trend_soft_path,
-        aligned(lc.trend_soft_open),
-        F.col("opening_volume_ratio") >= lc.trend_soft_volume,
-        F.col("side_ratio") >= lc.trend_soft_side,
-        F.col("cross_count") <= lc.trend_soft_crosses,
+        F.col("directional_efficiency") >= SOFT.range,
+        F.col("path_efficiency") >= SOFT.path,
+        aligned(SOFT.opening),
+        F.col("opening_volume_ratio") >= SOFT.volume,
+        F.col("side_ratio") >= SOFT.side,
+        F.col("cross_count") <= SOFT.crosses,
         extreme,
     ]
     df = df.withColumn("trend_soft_score", _score(terms))
     strict = (
         (up != 0)
         & moved
-        & (F.col("directional_efficiency") >= lc.trend_efficiency)
-        & (F.col("path_efficiency") >= lc.trend_path)
-        & aligned(lc.trend_open)
-        & (F.col("opening_volume_ratio") >= lc.trend_volume)
-        & (F.col("side_ratio") >= lc.trend_side)
-        & (F.col("cross_count") <= lc.trend_crosses)
+        & (F.col("directional_efficiency") >= STRICT.range)
+        & (F.col("path_efficiency") >= STRICT.path)
+        & aligned(STRICT.opening)
+        & (F.col("opening_volume_ratio") >= STRICT.volume)
+        & (F.col("side_ratio") >= STRICT.side)
+        & (F.col("cross_count") <= STRICT.crosses)
         & extreme
     )
-    soft = (up != 0) & (F.col("side_ratio") >= lc.trend_label_side) & (F.col("cross_count") <= lc.trend_label_crosses) & ((F.col("path_efficiency") >= lc.trend_label_path) | (F.col("trend_soft_score") >= lc.trend_label_score))
+    soft = (up != 0) & (F.col("side_ratio") >= SOFT_LABEL["side"]) & (F.col("cross_count") <= SOFT_LABEL["crosses"]) & ((F.col("path_efficiency") >= SOFT_LABEL["path"]) | (F.col("trend_soft_score") >= SOFT_LABEL["points"]))
     hostile = F.col("hostile_context") == 1
     df = df.withColumns({"trend_break_extreme": int_flag(strict & hostile), "trend_break_soft": int_flag(soft & hostile)})
     return df.withColumn("trend_break_risk", F.greatest("trend_break_extreme", "trend_break_soft"))
 
 
-def selloff(df: DataFrame, lc: LabelConfig) -> DataFrame:
+def selloff(df: DataFrame, parts: LabelBars = LabelBars(), x: I.Selloff = I.Selloff()) -> DataFrame:
     """A day that sells off early and does not recover."""
-    late = F.least(F.lit(lc.late_bars), F.col("n"))
+    late = F.least(F.lit(parts.late), F.col("n"))
     df = df.withColumn("anchor", F.greatest("close", "o")).withColumns({
         "early_low_return": change("anchor", "early_low"),
         "late_low_return": change("anchor", "late_low"),
         "close_vs_anchor": change("anchor", "c"),
         "low_in_first_hour": int_flag(F.col("low_index") < late),
         "recovery": F.when(F.col("anchor") - F.col("late_low") > 0, ratio(F.col("c") - F.col("late_low"), F.col("anchor") - F.col("late_low"))).otherwise(1.0),
-        "least_drop": F.greatest(F.lit(lc.selloff_drawdown), F.col("grid_step_pct") * lc.selloff_step),
+        "least_drop": x.least_fall(),
         "negative_trend": int_flag((F.col("trend_break_risk") == 1) & (F.col("trend_direction") < 0)),
     })
     early, later = F.col("early_low_return") <= -F.col("least_drop"), F.col("late_low_return") <= -F.col("least_drop")
-    weak, below = F.col("close_vs_anchor") <= lc.selloff_close, F.col("below") >= lc.selloff_negative
-    pressed, poor, negative = F.col("opening_return") <= lc.selloff_open, F.col("recovery") <= lc.selloff_recovery, F.col("negative_trend") == 1
+    weak, below = F.col("close_vs_anchor") <= x.close, F.col("below") >= x.below_vwap
+    pressed, poor, negative = F.col("opening_return") <= x.opening, F.col("recovery") <= x.recovery, F.col("negative_trend") == 1
     low = F.col("low_in_first_hour") == 1
-    terms = [early, later, low, pressed, F.col("opening_volume_ratio") >= lc.selloff_volume, below, poor, weak, F.col("tradable") == 0, F.col("vwap_reversion") == 0, negative]
+    terms = [early, later, low, pressed, F.col("opening_volume_ratio") >= x.opening_volume, below, poor, weak, F.col("tradable") == 0, F.col("vwap_reversion") == 0, negative]
     df = df.withColumn("selloff_score", _score(terms))
-    soft = (F.col("hostile_context") == 1) & (_yes(early) | _yes(later)) & (F.col("selloff_score") >= lc.selloff_score) & (_yes(pressed) | _yes(weak) | _yes(negative))
+    soft = (F.col("hostile_context") == 1) & (_yes(early) | _yes(later)) & (F.col("selloff_score") >= x.points) & (_yes(pressed) | _yes(weak) | _yes(negative))
     df = df.withColumns({"selloff_extreme": int_flag(early & low & below & poor & negative), "selloff_soft": int_flag(soft)})
     return df.withColumn("hostile_selloff_risk", F.greatest("selloff_extreme", "selloff_soft"))
 

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .decision import controls
+from .evaluate import score_bucket
+
 MODES = ("OFF", "SAFE", "NORMAL", "AGGRESSIVE")
 MODE_SEGMENTS = ("ALL", *MODES, "SAFE_OR_OFF", "NORMAL_OR_AGGRESSIVE")
 OUTCOMES = ("positive_grid_day", "tradable", "trend_break_risk", "hostile_selloff_risk", "vwap_reversion")
@@ -68,6 +71,20 @@ def summary(df: DataFrame, segments: dict[str, Column], *key: str, full: bool =
     return out.withColumn("share", F.coalesce(F.try_divide("n", "_all"), F.lit(0.0))).drop("_all")
 
 
+def scored_table(df: DataFrame, heads: tuple[str, ...], order: tuple[str, ...], *key: str, buckets: int = 5) -> DataFrame:
+    """A scored test set in full: which thresholds are met, the decision, a bucket for each head's score, errors of the downside.
+
+    Needs pred_<head>, target_<head> and the classification heads' threshold_<head>.
+    """
+    df = df.withColumns({f"on_{h}": F.coalesce(F.col(f"pred_{h}") >= F.col(f"threshold_{h}"), F.lit(False)) for h in heads if f"threshold_{h}" in df.columns})
+    df = controls(df).withColumns({f"bucket_{h}": score_bucket(f"pred_{h}", buckets, order, *key) for h in heads})
+    for h in ("downside", "downside_from_open"):
+        if {f"pred_{h}", f"target_{h}"} <= set(df.columns):
+            error = F.col(f"pred_{h}") - F.col(f"target_{h}")
+            df = df.withColumns({f"{h}_error": error, f"{h}_abs_error": F.abs(error)})
+    return df
+
+
 def bucket_summary(df: DataFrame, heads: dict[str, tuple[str, str, str]], *key: str) -> DataFrame:
     """Heads are (score, bucket, outcome) columns; one row for each head and bucket."""
     rows = F.explode(F.array(*(F.struct(F.lit(h).alias("head"), F.col(s).alias("score"), F.col(b).alias("bucket"), F.col(t).cast("double").alias("outcome")) for h, (s, b, t) in heads.items())))

@@ -6,13 +6,28 @@ every window that they train.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..config import WalkForward
 from .segments import MODES
 
 
+@dataclass(frozen=True)
+class WalkForward:
+    """Rows of a train and a test window, between the starts of two windows, and of the least last test window (fixed values of M12)."""
+
+    train: int = 756
+    test: int = 63
+    step: int = 63
+    min_test: int = 21
+
+    def __post_init__(self):
+        if min(self.train, self.test, self.step, self.min_test) <= 0 or self.step < self.test:
+            raise ValueError("windows must be positive, and a step at least a test window")
+
+
 def windows(counts: DataFrame, c: WalkForward, *key: str) -> DataFrame:
     """counts: key columns and n. Half-open row ranges; the last test range may be short, but not below the least."""
     last = F.floor((F.col("n") - c.train - c.min_test) / c.step)
@@ -28,6 +43,27 @@ def test_rows(rows: DataFrame, w: DataFrame, c: WalkForward, *key: str) -> DataF
     return rows.join(w, [*key, "window_id"]).filter("row_idx >= test_start AND row_idx < test_end")
 
 
+def tested(rows: DataFrame, c: WalkForward, *key: str) -> DataFrame:
+    """Rows with the id of the window that tests them, from row_idx and the key's row count alone: no join."""
+    n = F.count("*").over(Window.partitionBy(*key))
+    at = F.col("row_idx") - c.train
+    rows = rows.withColumn("_n", n).filter((at >= 0) & (F.col("_n") >= c.train + c.min_test)).withColumn("window_id", (F.floor(at / c.step) + 1).cast("long"))
+    start = (F.col("window_id") - 1) * c.step + c.train
+    return rows.filter((F.col("row_idx") < start + c.test) & (F.col("_n") - start >= c.min_test)).drop("_n")
+
+
+def judged(rows: DataFrame, *key: str) -> DataFrame:
+    """Tested rows with their window's verdict (normal_minus_safe, normal_beats_safe, severity): windows over the rows, no join.
+
+    As failure_windows gives them; severity is dense, so a window's rows share theirs.
+    """
+    w = Window.partitionBy(*key, "window_id")
+    mean = lambda m: F.coalesce(F.avg(F.when(F.col("mode") == m, F.col("target_grid_pnl"))).over(w), F.lit(0.0))
+    rows = rows.withColumn("normal_minus_safe", mean("NORMAL") - mean("SAFE"))
+    rank = F.dense_rank().over(Window.partitionBy(*key).orderBy("normal_minus_safe"))
+    return rows.withColumns({"normal_beats_safe": F.col("normal_minus_safe") > 0, "severity": rank})
+
+
 def train_means(rows: DataFrame, w: DataFrame, columns: tuple[str, ...], *key: str) -> DataFrame:
     """Means over each window's train rows, as train_<column>."""
     upto = Window.partitionBy(*key).orderBy("row_idx").rowsBetween(Window.unboundedPreceding, 0)

@@ -38,6 +38,16 @@ segment AS (
   FROM orders JOIN customer ON o_custkey = c_custkey WHERE c_mktsegment = 'BUILDING' GROUP BY CAST(o_orderdate AS DATE))"""
 
 
+def environment_sql() -> str:
+    """idx and sec, the features of the daily series ship and segment."""
+    e = "ORDER BY date"
+    return ", ".join(
+        f"""{n}0 AS (SELECT *, lag(close) OVER ({e}) AS pre_close, avg(close) OVER ({e} ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS ma5, avg(close) OVER ({e} ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) AS ma20 FROM {t}),
+{n} AS (SELECT date, close, close / nullif(pre_close, 0) - 1 AS daily_return, (high - low) / nullif(pre_close, 0) AS daily_range, open / nullif(pre_close, 0) - 1 AS gap_pct, ma5, ma20, close / nullif(ma20, 0) - 1 AS close_to_ma20 FROM {n}0)"""
+        for n, t in (("idx", "ship"), ("sec", "segment"))
+    )
+
+
 def hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return B.from_ticks(S.ticks(spark, sf_dir))
 

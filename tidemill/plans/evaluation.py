@@ -8,12 +8,13 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..config import HEADS, THRESHOLDS, HeadRule, WalkForward
 from ..operators import daily as D
 from ..operators import decision as C
 from ..operators import evaluate as E
+from ..operators.evaluate import HEADS, THRESHOLDS, HeadRule
 from ..operators import segments as G
 from ..operators import walkforward as W
+from ..operators.walkforward import WalkForward
 from ..sources import tables as S
 from .common import SERIES
 from .registry import add
@@ -124,7 +125,7 @@ add(
 )
 _Q = "CAST(greatest(1, ceil((row_number() OVER (PARTITION BY code ORDER BY {p}, date) - 1) * 5 / (count(*) OVER (PARTITION BY code) - 1))) AS INTEGER)"
 add("score_buckets", lambda s, d: scored(s, d).select("code", "date", E.score_bucket("pred_upside", 5, ("date",), "code").alias("bucket")), f"WITH {SCORED} SELECT code, date, {_Q.format(p='pred_upside')} AS bucket FROM scored")
-_HEADS = {"upside": ("pred_upside", "target_upside"), "tradable": ("pred_tradable", "target_tradable")}
+_HEADS = {h: (f"pred_{h}", f"target_{h}") for h in ("upside", "downside", "grid_pnl", *HEADS)}
 _RATE = ", ".join(f"avg(target_{c}) AS {c}_rate" for c in G.OUTCOMES)
 _RATE_COLUMNS = " ".join(f"{c}_rate" for c in G.OUTCOMES)
 
@@ -207,8 +208,7 @@ def wf_windows(df):
 
 
 def tested(s, d):
-    df = decided(s, d)
-    return W.test_rows(df, wf_windows(df), WF, "code")
+    return W.tested(decided(s, d), WF, "code")
 
 
 add("walk_forward_windows", lambda s, d: wf_windows(scored(s, d)), f"WITH {WINDOWS} SELECT * FROM windows")
@@ -247,7 +247,7 @@ def verdicts(s, d):
 
 
 def judged(s, d):
-    return W.with_verdicts(tested(s, d), verdicts(s, d), "code")
+    return W.judged(tested(s, d), "code")
 
 
 add("failure_windows", verdicts, f"WITH {VERDICTS} SELECT * FROM verdicts", _WIDE + " normal_minus_safe p10_minus_safe worst_minus_safe normal_share")
@@ -259,23 +259,24 @@ add(
       quantile_cont(target_grid_pnl, 0.1) AS pnl_p10, min(target_grid_pnl) AS pnl_worst, {', '.join(f'avg({c}) AS {k}' for k, c in _COHORT.items())} FROM judged WHERE mode IN ('NORMAL', 'SAFE') GROUP BY 1, 2""",
     "pnl_mean pnl_p10 pnl_worst " + " ".join(_COHORT),
 )
-_FEATURES = ("pred_positive_grid_day", "pred_tradable", "pred_hostile_selloff_risk", "target_grid_pnl", "target_tradable", "grid_step_pct")
+_FEATURES = (*(f"pred_{h}" for h in _HEADS), *(f"target_{h}" for h in _HEADS), *(f"threshold_{h}" for h in HEADS), "grid_step_pct", "position_scale", "grid_width_scale", "grid_width", "suspicious_flag")
 add(
     "feature_delta",
     lambda s, d: W.feature_deltas(judged(s, d), _FEATURES),
     f"WITH {VERDICTS}, f AS (" + " UNION ALL ".join(f"SELECT '{c}' AS feature, coalesce(avg({c}) FILTER (NOT normal_beats_safe), 0) AS bad_mean, coalesce(avg({c}) FILTER (normal_beats_safe), 0) AS good_mean FROM judged WHERE mode = 'NORMAL'" for c in _FEATURES) + ") SELECT *, bad_mean - good_mean AS bad_minus_good, abs(bad_mean) AS bad_abs_mean FROM f",
     "bad_mean good_mean bad_minus_good bad_abs_mean",
 )
-_DRIFT = {"tradable": HEADS["tradable"], "hostile_selloff_risk": HEADS["hostile_selloff_risk"]}
+_DRIFT = HEADS
 
 
 def drift(s, d):
-    rows, out = tested(s, d), None
-    for h, rule in _DRIFT.items():
-        best = E.choose_threshold(rows, f"target_{h}", f"pred_{h}", rule, "code", "window_id")
-        one = best.join(E.average_precision(rows, f"target_{h}", f"pred_{h}", "code", "window_id"), ["code", "window_id"]).withColumn("head", F.lit(h))
-        out = one if out is None else out.unionByName(one)
-    return W.threshold_drift(out.join(verdicts(s, d).select("code", "window_id", "normal_beats_safe"), ["code", "window_id"], "left"))
+    """All heads at once: rows are unpivoted to (head, truth, score), and a head's rule is looked up by its name."""
+    heads = F.explode(F.array(*(F.struct(F.lit(h).alias("head"), F.col(f"target_{h}").alias("truth"), F.col(f"pred_{h}").alias("score")) for h in _DRIFT)))
+    rows = judged(s, d).select("code", "window_id", "normal_beats_safe", heads.alias("h")).select("code", "window_id", "normal_beats_safe", "h.*")
+    best = E.choose_thresholds(rows, "truth", "score", _DRIFT, "head", "code", "window_id")
+    precision = E.average_precision(rows, "truth", "score", "head", "code", "window_id")
+    verdict = rows.groupBy("code", "window_id").agg(F.first("normal_beats_safe").alias("normal_beats_safe"))
+    return W.threshold_drift(best.join(precision, ["head", "code", "window_id"]).join(verdict, ["code", "window_id"]))
 
 
 _PARTS = ("threshold", "recall", "precision", "average_precision")

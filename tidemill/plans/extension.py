@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..config import HEADS
 from ..operators import daily as D
 from ..operators import heads as H
+from ..operators.evaluate import HEADS
 from ..streaming import bars as T
 from .common import BARS
 from .evaluation import scored

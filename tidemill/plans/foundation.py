@@ -9,7 +9,7 @@ from ..operators import bars as B
 from ..operators import daily as D
 from ..operators import joins as J
 from ..sources import tables as S
-from .common import BARS, DAYS, ENVIRONMENTS, SERIES, TICKS, days, hourly, text
+from .common import BARS, DAYS, ENVIRONMENTS, SERIES, TICKS, days, environment_sql, hourly, text
 from .registry import add
 
 OHLC = "open high low close volume amount price"
@@ -204,12 +204,7 @@ add(
     f"WITH {SERIES} SELECT code, date, row_number() {OVER} - 1 AS row_idx, CASE WHEN row_number() {OVER} - 1 < floor(count(*) OVER (PARTITION BY code) * (1 - 0.2::DOUBLE)) THEN 'train' ELSE 'test' END AS part FROM series",
 )
 
-_E = "ORDER BY date"
-ENV = ENVIRONMENTS + "".join(
-    f""", {n}0 AS (SELECT *, lag(close) OVER ({_E}) AS pre_close, avg(close) OVER ({_E} ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS ma5, avg(close) OVER ({_E} ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) AS ma20 FROM {t}),
-{n} AS (SELECT date, close, close / nullif(pre_close, 0) - 1 AS daily_return, (high - low) / nullif(pre_close, 0) AS daily_range, open / nullif(pre_close, 0) - 1 AS gap_pct, ma5, ma20, close / nullif(ma20, 0) - 1 AS close_to_ma20 FROM {n}0)"""
-    for n, t in (("idx", "ship"), ("sec", "segment"))
-)
+ENV = f"{ENVIRONMENTS}, {environment_sql()}"
 
 
 def environments(s, d):

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from ..config import HOURLY_LABELS, ReplayConfig
 from ..operators import daily as D
 from ..operators import labels as L
+from ..operators.replay import Market
 from .common import BARS, days, hourly
 from .registry import add
 
 #: Ticks of the events table are few, so an order may take more than a bar's volume.
-REPLAY = ReplayConfig(participation=2.0)
+REPLAY = Market(share_of_bar=2.0)
 
 _D = "PARTITION BY code ORDER BY date"
 _W = "PARTITION BY code, date ORDER BY datetime"
@@ -99,7 +99,7 @@ labels AS (SELECT *, greatest(selloff_extreme, selloff_soft) AS hostile_selloff_
 
 def table(s, d):
     today = D.label_step(days(s, d)).select("code", "date", "close", "grid_step_pct")
-    return L.label_table(today, hourly(s, d), HOURLY_LABELS, REPLAY)
+    return L.label_table(today, hourly(s, d), L.HOURLY, REPLAY)
 
 
 def query(name: str, columns: str, floats: str, cte: str = REPLAYED, source: str = "labels") -> None:

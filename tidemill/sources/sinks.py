@@ -4,10 +4,22 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import tempfile
+import uuid
 from pathlib import Path
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+
+def work_path(spark: SparkSession, label: str) -> str:
+    """A new path below spark.checkpoint.dir, which driver and executors share; where that is unset, of this machine, if nothing else runs tasks."""
+    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not shared:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        shared = "file://" + tempfile.mkdtemp(prefix="tidemill-")
+    return f"{shared.rstrip('/')}/tidemill/{uuid.uuid4().hex}/{label}"
 
 
 def write_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:

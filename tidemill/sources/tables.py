@@ -80,7 +80,7 @@ def parse_klines(lines: DataFrame, column: str = "line") -> DataFrame:
     part = F.split(F.col(column), ",")
     names = ("open", "close", "high", "low", "volume", "amount")
     kept = lines.select(part.alias("part")).filter(F.size("part") >= 7)
-    return kept.select(F.expr("try_cast(part[0] AS date)").alias("date"), *(number(F.col("part")[i + 1]).alias(n) for i, n in enumerate(names)))
+    return kept.select(F.expr("try_cast(get(part, 0) AS date)").alias("date"), *(number(F.get("part", F.lit(i + 1))).alias(n) for i, n in enumerate(names)))
 
 
 def parse_minutes(lines: DataFrame, column: str = "line") -> DataFrame:
@@ -88,8 +88,9 @@ def parse_minutes(lines: DataFrame, column: str = "line") -> DataFrame:
     part = F.split(F.col(column), ",")
     names = ("open", "close", "high", "low", "volume", "amount", "price")
     kept = lines.select(part.alias("part")).filter(F.size("part") >= 8)
-    stamp = F.when(F.length(F.col("part")[0]) == 16, F.concat(F.col("part")[0], F.lit(":00"))).otherwise(F.col("part")[0])
-    return kept.select(stamp.alias("stamp"), "part").select(F.expr("try_cast(stamp AS timestamp_ntz)").alias("datetime"), *(number(F.col("part")[i + 1]).alias(n) for i, n in enumerate(names)))
+    first = F.get("part", F.lit(0))
+    stamp = F.when(F.length(first) == 16, F.concat(first, F.lit(":00"))).otherwise(first)
+    return kept.select(stamp.alias("stamp"), "part").select(F.expr("try_cast(stamp AS timestamp_ntz)").alias("datetime"), *(number(F.get("part", F.lit(i + 1))).alias(n) for i, n in enumerate(names)))
 
 
 def snapshot_row(day: DataFrame, quote: DataFrame) -> DataFrame:

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..operators.bars import tick_order
+from ..sources.sinks import work_path
+
 
 def tick_stream(spark: SparkSession, folder: str, pattern: str = "events*.parquet", files_per_batch: int = 100) -> DataFrame:
     """Tick files of a folder as a stream, in the columns of sources.tables.ticks."""
@@ -21,7 +21,7 @@ def tick_stream(spark: SparkSession, folder: str, pattern: str = "events*.parque
 
 def bars(ticks: DataFrame, width: str = "1 hour", late: str = "10 minutes") -> DataFrame:
     """Open, high, low, close and sums by window; state of windows older than the watermark is dropped."""
-    by = F.struct("datetime", "seq")
+    by = tick_order(F.date_trunc(width.split()[1], "datetime")) if width.split()[0] == "1" and width.split()[1].rstrip("s") in ("hour", "minute") else F.struct("datetime", "seq")
     out = (
         ticks.filter("price > 0")
         .withWatermark("datetime", late)
@@ -49,5 +49,4 @@ def current(spark: SparkSession, target: str) -> DataFrame:
 
 
 def work_folder(spark: SparkSession) -> str:
-    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir") or f"file://{tempfile.gettempdir()}/tidemill-streams"
-    return f"{shared.rstrip('/')}/tidemill-stream-{uuid.uuid4().hex}"
+    return work_path(spark, "stream")
