@@ -27,7 +27,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .base import arrow_map, read_table, texts
+from .base import arrow_map, materialize, read_table, texts
 
 CHUNK_CHARS = 32768
 OVERLAP_CHARS = 512
@@ -120,7 +120,7 @@ def cut(text: str, chunk_chars: int = CHUNK_CHARS, overlap: int = OVERLAP_CHARS)
         start = core
 
 
-def boundaries(pattern, text: str, start: int, core: int, end: int, last: bool, chunk: str, head_to: int) -> tuple[list[int], list[int]]:
+def boundaries(pattern, start: int, core: int, end: int, last: bool, chunk: str, head_to: int) -> tuple[list[int], list[int]]:
     """Piece boundaries of a chunk, as places in the whole text: in the overlap with the one before, and with the next."""
     trusted = end if last else end - MARGIN
     head, tail = [start], []
@@ -164,8 +164,8 @@ def _encode_long(rows: DataFrame, ranks_path: str, pattern: str, chunk_chars: in
     def pretokenise(batches):
         c = codec(ranks_path, pattern)
         for b in batches:
-            found = [boundaries(c.pattern, t, s, k, e, z, t, h) for t, s, k, e, z, h in zip(b["text"], b["start"], b["core"], b["end"], b["last"], b["head_to"])]
-            keep = {k: b[k] for k in ("uid", "doc_id", "no", "start", "end", "text")}
+            found = [boundaries(c.pattern, s, k, e, z, t, h) for t, s, k, e, z, h in zip(b["text"], b["start"], b["core"], b["end"], b["last"], b["head_to"])]
+            keep = {k: b[k] for k in ("uid", "no", "end")}
             yield keep | {"head": [x[0] for x in found], "tail": [x[1] for x in found]}
 
     def encode_pieces(batches):
@@ -179,12 +179,15 @@ def _encode_long(rows: DataFrame, ranks_path: str, pattern: str, chunk_chars: in
             yield {"doc_id": b["doc_id"], "ids": [b"".join(p["ids"] for p in parts) for parts in b["parts"]]}
 
     chunks = arrow_map(rows, split, "uid long, doc_id long, no int, start long, core long, end long, head_to long, last boolean, text string")
-    marked = arrow_map(chunks.repartition("uid", "no"), pretokenise, "uid long, doc_id long, no int, start long, end long, text string, head array<long>, tail array<long>")
+    # chunks are dealt out once and written; only boundaries go through the window that stitches, and come back to their chunks
+    dealt = materialize(chunks.repartition("uid", "no"), "chunks", keep=True)
+    marked = arrow_map(dealt, pretokenise, "uid long, no int, end long, head array<long>, tail array<long>")
     by_text = Window.partitionBy("uid").orderBy("no")
     common = F.array_min(F.array_intersect(F.lag("tail").over(by_text), F.col("head")))
     stitched = marked.withColumn("own_from", F.when(F.col("no") == 0, F.lit(0).cast("long")).otherwise(common))
-    stitched = stitched.withColumn("own_to", F.coalesce(F.lead("own_from").over(by_text), F.col("end")))
-    parts = arrow_map(stitched.select("uid", "doc_id", "no", "start", "text", "own_from", "own_to"), encode_pieces, "uid long, doc_id long, no int, ids binary")
+    stitched = stitched.select("uid", "no", "own_from", F.coalesce(F.lead("own_from").over(by_text), F.col("end")).alias("own_to"))
+    both = dealt.join(stitched, ["uid", "no"]).select("uid", "doc_id", "no", "start", "text", "own_from", "own_to")
+    parts = arrow_map(both, encode_pieces, "uid long, doc_id long, no int, ids binary")
     whole = parts.groupBy("uid", "doc_id").agg(F.sort_array(F.collect_list(F.struct("no", "ids"))).alias("parts"))
     return arrow_map(whole, join_parts, "doc_id long, ids binary")
 
