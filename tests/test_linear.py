@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tidemill.operators import evaluate as E
 from tidemill.operators import linear as N
 from tidemill.operators.evaluate import HeadRule
 from tidemill.operators import walkforward as W
@@ -92,3 +93,12 @@ def test_verdicts_of_rows(spark):
     got = {r.window_id: r for r in judged(spark.createDataFrame(rows, "code string, window_id long, mode string, target_grid_pnl double"), "code").collect()}
     assert [got[w].severity for w in (1, 2, 3)] == [1, 3, 2] and [got[w].normal_beats_safe for w in (1, 2, 3)] == [False, True, True]
     assert got[1].normal_minus_safe == pytest.approx(-0.01)
+
+
+def test_heads_follow_targets(spark):
+    names = [f"target_{h}" for h in ("upside", "downside", "grid_pnl", *E.HEADS)]
+    df = spark.createDataFrame([], ", ".join(f"{n} double" for n in names))
+    assert len(E.heads_of(df)) == 8 and E.heads_of(df)["tradable"] == ("classification", "target_tradable")
+    assert len(E.heads_of(df.withColumn("target_downside_from_open", F.lit(0.0)))) == 9
+    with pytest.raises(ValueError, match="upside"):
+        E.heads_of(df.drop("target_upside"))

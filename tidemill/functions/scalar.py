@@ -35,6 +35,11 @@ def clip(x, low, high) -> Column:
     return F.when(col(x).isNotNull(), F.least(F.greatest(col(x), col(low)), col(high)))
 
 
+def quantile(x, share: float, accuracy: int | None = None) -> Column:
+    """An aggregate: the interpolated quantile, which holds a group's distinct values; with an accuracy the approximate one, of bounded memory."""
+    return F.percentile(col(x), F.lit(share)) if accuracy is None else F.percentile_approx(col(x), share, accuracy)
+
+
 def flag(condition: Column) -> Column:
     """1.0 where the condition holds, 0.0 where it does not or is missing."""
     return F.coalesce(condition, F.lit(False)).cast("double")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Fixed values (C1, C4), here and in the rules below: the rules' order, scales, widths and reasons are a contract with their readers.
 LEAST_WIDTH = 0.005
 
 

@@ -26,9 +26,20 @@ HEADS = {
     "hostile_selloff_risk": HeadRule(2.5, 0.15, 2.50),
     "vwap_reversion": HeadRule(1.5, 0.20, 1.80),
 }
+#: Fixed list (M11): regression heads; a frame without a head's target has not that head.
+REGRESSION_HEADS = ("upside", "downside", "downside_from_open", "grid_pnl")
 THRESHOLDS = tuple(k / 100 for k in range(10, 65, 5))
 
 
+def heads_of(df: DataFrame) -> dict[str, tuple[str, str]]:
+    """The heads that a frame has targets for: by name, their kind and their target's column. The downside from the open is optional, others are not."""
+    out = {h: ("regression", f"target_{h}") for h in REGRESSION_HEADS} | {h: ("classification", f"target_{h}") for h in HEADS}
+    missing = [h for h, (_, t) in out.items() if t not in df.columns]
+    if set(missing) - {"downside_from_open"}:
+        raise ValueError(f"no target for {', '.join(missing)}")
+    return {h: v for h, v in out.items() if h not in missing}
+
+
 def average_rank(x: str, *key: str) -> Column:
     """Ranks from 1, ties at their mean."""
     w = Window.partitionBy(*key)

@@ -7,7 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalar import change, int_flag, ratio
+from ..functions.scalar import change, int_flag, quantile, ratio
+from . import daily as D
 from . import intraday as I
 from .replay import Market, replay
 
@@ -75,21 +76,27 @@ def price_targets(df: DataFrame) -> DataFrame:
     })
 
 
+#: Fixed values (L2, L3): a low that is far above, a high that is far above, a gap either way.
+LOW_ABOVE = 0.03
+HIGH_ABOVE = 0.10
+FAR_GAP = 0.08
+
+
 def anomaly_flags(df: DataFrame) -> DataFrame:
     """Row flags; suspicious is the jump (both extremes) or a large gap."""
-    jump = (F.col("target_downside") > 0.03) & (F.col("target_upside") > 0.10)
+    jump = (F.col("target_downside") > LOW_ABOVE) & (F.col("target_upside") > HIGH_ABOVE)
     return df.withColumns({
         "downside_positive_flag": int_flag(F.col("target_downside") > 0),
-        "downside_large_positive_flag": int_flag(F.col("target_downside") > 0.03),
-        "upside_extreme_flag": int_flag(F.col("target_upside") > 0.10),
-        "large_gap_flag": int_flag(F.abs("next_gap_return") > 0.08),
-        "suspicious_flag": int_flag(F.coalesce(jump, F.lit(False)) | F.coalesce(F.abs("next_gap_return") > 0.08, F.lit(False))),
+        "downside_large_positive_flag": int_flag(F.col("target_downside") > LOW_ABOVE),
+        "upside_extreme_flag": int_flag(F.col("target_upside") > HIGH_ABOVE),
+        "large_gap_flag": int_flag(F.abs("next_gap_return") > FAR_GAP),
+        "suspicious_flag": int_flag(F.coalesce(jump, F.lit(False)) | F.coalesce(F.abs("next_gap_return") > FAR_GAP, F.lit(False))),
     })
 
 
 def anomaly_audit(df: DataFrame) -> DataFrame:
     """Counts and shares of the flags, by code; the jump here is without the gap, unlike the row flag."""
-    jump = F.coalesce((F.col("target_downside") > 0.03) & (F.col("target_upside") > 0.10), F.lit(False)).cast("int")
+    jump = F.coalesce((F.col("target_downside") > LOW_ABOVE) & (F.col("target_upside") > HIGH_ABOVE), F.lit(False)).cast("int")
     parts = {"downside_positive": F.col("downside_positive_flag"), "downside_large_positive": F.col("downside_large_positive_flag"), "upside_extreme": F.col("upside_extreme_flag"), "large_gap": F.col("large_gap_flag"), "abnormal_jump": jump}
     return df.groupBy("code").agg(*(f.alias(n) for k, v in parts.items() for n, f in ((f"{k}_days", F.sum(v)), (f"{k}_ratio", F.avg(v)))))
 
@@ -100,11 +107,11 @@ def anomaly_samples(df: DataFrame, limit: int = 20) -> DataFrame:
     return df.filter("suspicious_flag = 1").withColumn("sample", F.row_number().over(order)).filter(F.col("sample") <= limit)
 
 
-def describe(df: DataFrame, columns: tuple[str, ...]) -> DataFrame:
-    """count, mean, sample deviation, min, 10th, 50th, 90th percentile and max of columns."""
+def describe(df: DataFrame, columns: tuple[str, ...], accuracy: int | None = None) -> DataFrame:
+    """count, mean, sample deviation, min, 10th, 50th, 90th percentile and max of columns. accuracy: see quantile; for many rows."""
     one = lambda c: F.struct(
         F.lit(c).alias("column_name"), F.count(c).alias("n"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("deviation"), F.min(c).alias("least"),
-        *(F.percentile(c, F.lit(p)).alias(f"p{int(p * 100)}") for p in (0.1, 0.5, 0.9)), F.max(c).alias("most"),
+        *(quantile(c, p, accuracy).alias(f"p{int(p * 100)}") for p in (0.1, 0.5, 0.9)), F.max(c).alias("most"),
     )
     return df.agg(*(one(c).alias(c) for c in columns)).select(F.explode(F.array(*columns)).alias("s")).select("s.*")
 
@@ -149,12 +156,21 @@ def day_stats(bars: DataFrame, parts: LabelBars = LabelBars(), market: Market =
     )
 
 
-def label_table(days: DataFrame, bars: DataFrame, parts: LabelBars = LabelBars(), market: Market = Market(), least_trips: int = 1) -> DataFrame:
-    """days: code, date, close, grid_step_pct. One row for each day whose next day has bars, with all labels."""
-    order = Window.partitionBy("code").orderBy("date")
-    today = days.withColumn("next_date", F.lead("date").over(order)).filter("next_date IS NOT NULL").select("code", "date", "next_date", "close", "grid_step_pct")
-    stats = day_stats(bars, parts, market).withColumnRenamed("date", "next_date")
-    df = today.join(stats, ["code", "next_date"])
+def label_table(bars: DataFrame, days: DataFrame | None = None, parts: LabelBars = LabelBars(), market: Market = Market(), least_trips: int = 1) -> DataFrame:
+    """One row for each day whose next day has bars, with all labels of that next day.
+
+    days: code, date, close, grid_step_pct; a next day without bars has no row.  Without days they come from the bars: then
+    a window over the days of a code, a row each, pairs every day with the one before, and bars are read and shuffled once.
+    """
+    stats = day_stats(bars, parts, market)
+    if days is None:
+        own = D.label_step(stats.withColumns({"high": F.col("h"), "low": F.col("l"), "close": F.col("c")}))
+        before = {k: F.lag(k).over(D.days()) for k in ("date", "close", "grid_step_pct")}
+        df = own.select("code", before["date"].alias("date"), F.col("date").alias("next_date"), before["close"].alias("close"), before["grid_step_pct"].alias("grid_step_pct"), *(c for c in stats.columns if c not in ("code", "date")))
+        df = df.filter("date IS NOT NULL")
+    else:
+        today = days.withColumn("next_date", F.lead("date").over(D.days())).filter("next_date IS NOT NULL").select("code", "date", "next_date", "close", "grid_step_pct")
+        df = today.join(stats.withColumnRenamed("date", "next_date"), ["code", "next_date"])
     df = df.withColumns({"next_open": F.col("o"), "next_high": F.col("h"), "next_low": F.col("l")})
     df = replay(anomaly_flags(price_targets(df)), "bars", "close", "grid_step_pct", market).drop("bars")
     df = df.select("*", "replay.*").drop("replay")
@@ -163,6 +179,13 @@ def label_table(days: DataFrame, bars: DataFrame, parts: LabelBars = LabelBars()
     return selloff(trend_break(vwap_reversion(df)), parts)
 
 
+def targets(df: DataFrame) -> DataFrame:
+    """A label table's key and next date, and its outcomes under the names of heads: target_<head>."""
+    price = [c for c in df.columns if c.startswith("target_")]
+    named = ("grid_pnl", "positive_grid_day", "tradable", "trend_break_risk", "hostile_selloff_risk", "vwap_reversion")
+    return df.select("code", "date", "next_date", *price, *(F.col(c).alias(f"target_{c}") for c in named))
+
+
 def vwap_reversion(df: DataFrame, x: Reversion = Reversion()) -> DataFrame:
     df = df.withColumn("side_ratio", F.greatest("above", "below"))
     hit = (F.col("success_count") >= x.successes) & (F.col("max_capture") >= x.best_capture) & (F.col("cross_count") >= x.crosses) & (F.col("side_ratio") <= x.side)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.scalar import quantile
 from .decision import controls
 from .evaluate import score_bucket
 
@@ -43,21 +44,21 @@ def interaction_segments() -> dict[str, Column]:
     }
 
 
-def summary(df: DataFrame, segments: dict[str, Column], *key: str, full: bool = True) -> DataFrame:
-    """One row for each key and segment, also for segments without rows, which get zeros."""
+def summary(df: DataFrame, segments: dict[str, Column], *key: str, full: bool = True, accuracy: int | None = None) -> DataFrame:
+    """One row for each key and segment, also for segments without rows, which get zeros. accuracy: see quantile; for segments of many rows."""
     pnl = F.col("target_grid_pnl")
     scaled = pnl * F.col("position_scale")
     metrics = [
         F.count("*").alias("n"),
         F.avg(pnl).alias("pnl_mean"),
-        F.percentile(pnl, F.lit(0.1)).alias("pnl_p10"),
+        quantile(pnl, 0.1, accuracy).alias("pnl_p10"),
         F.min(pnl).alias("pnl_worst"),
         *rates(),
     ]
     if full:
         metrics += [
             F.sum(pnl).alias("pnl_total"),
-            F.percentile(pnl, F.lit(0.5)).alias("pnl_median"),
+            quantile(pnl, 0.5, accuracy).alias("pnl_median"),
             F.sum(scaled).alias("scaled_total"),
             F.avg(scaled).alias("scaled_mean"),
             F.avg("target_upside").alias("upside_mean"),

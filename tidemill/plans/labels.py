@@ -98,8 +98,13 @@ labels AS (SELECT *, greatest(selloff_extreme, selloff_soft) AS hostile_selloff_
 
 
 def table(s, d):
+    return L.label_table(hourly(s, d), None, L.HOURLY, REPLAY)
+
+
+def table_of_days(s, d):
+    """The same from a table of days that is given, as a store of daily summaries would give it."""
     today = D.label_step(days(s, d)).select("code", "date", "close", "grid_step_pct")
-    return L.label_table(today, hourly(s, d), L.HOURLY, REPLAY)
+    return L.label_table(hourly(s, d), today, L.HOURLY, REPLAY)
 
 
 def query(name: str, columns: str, floats: str, cte: str = REPLAYED, source: str = "labels") -> None:
@@ -134,3 +139,4 @@ query("grid_replay", "grid_pnl grid_pnl_cash round_trips long_entries short_entr
 query("vwap_reversion_label", "vwap_reversion event_count success_count max_capture max_event_gap side_ratio", "max_capture max_event_gap side_ratio")
 query("trend_break_label", "trend_break_risk trend_break_extreme trend_break_soft trend_soft_score hostile_context trend_direction open_close_return directional_efficiency path_efficiency opening_return opening_volume_ratio close_location", "open_close_return directional_efficiency path_efficiency opening_return opening_volume_ratio close_location")
 query("hostile_selloff_label", "hostile_selloff_risk selloff_extreme selloff_soft selloff_score negative_trend low_in_first_hour early_low_return late_low_return close_vs_anchor recovery below", "early_low_return late_low_return close_vs_anchor recovery below")
+add("labels_of_given_days", lambda s, d: table_of_days(s, d).select("code", "date", "next_date", "grid_pnl", "round_trips", "vwap_reversion", "trend_break_risk", "hostile_selloff_risk"), f"WITH {REPLAYED} SELECT code, date, next_date, grid_pnl, round_trips, vwap_reversion, trend_break_risk, hostile_selloff_risk FROM labels", "grid_pnl")

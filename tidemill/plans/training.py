@@ -9,10 +9,12 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators import decision as C
+from ..operators import evaluate as E
 from ..operators import linear as N
 from ..operators import segments as G
 from ..operators.evaluate import HEADS
-from .evaluation import _TARGET, WF, _counts, _rates, scored
+from ..sources import sinks as K
+from .evaluation import WF, _counts, _rates, scored
 from .evaluation import SCORED as _SCORED
 from .registry import add
 
@@ -29,7 +31,7 @@ def rows(s, d):
 
 
 def trained(s, d, columns=("grid_step_pct",), settings=PLAIN):
-    return N.walk_forward(rows(s, d), columns, REGRESSION, HEADS, WF, ("code",), settings)
+    return N.walk_forward(K.stored(rows(s, d), "training"), columns, REGRESSION, HEADS, WF, ("code",), settings)
 
 
 _SPLIT = int(WF.train * (1 - PLAIN.validation))
@@ -94,3 +96,25 @@ add(
       SELECT code, date, 'signal_' || strftime(date, '%Y%m%d') AS version, {', '.join(f'round({_SCORE(h)}, 6) AS {h}' for h in ALL)} FROM o JOIN l USING (code) WHERE back = 1""",
     " ".join(ALL),
 )
+
+
+def trained_on_features(s, d):
+    """The whole chain on the events: feature table and labels in one frame, audited; every head trained in each window; decisions of the test days."""
+    from ..operators import heads as H
+    from ..operators import labels as L
+    from ..operators.daily import days
+    from ..operators.walkforward import WalkForward
+    from .intraday import event_features
+    from .labels import table
+
+    chosen = ("open4_return", "intraday_range", "close_vwap_gap", "realized_volatility", "hostile_soft_score", "daily_return", "stk_idx_return_spread", "overnight_mean_return", "grid_step_pct")
+    df = H.training_frame(event_features(s, d).select("code", "date", *chosen), L.targets(table(s, d)), "code", "date")
+    df = K.stored(df.withColumn("row_idx", (F.row_number().over(days()) - 1).cast("long")), "training")
+    H.leakage_audit(df, list(chosen))
+    heads = E.heads_of(df)
+    numeric = tuple(h for h, (kind, _) in heads.items() if kind == "regression")
+    out = N.walk_forward(df, chosen, numeric, HEADS, WalkForward(15, 5, 5, 2), ("code",))
+    return C.controls(out).select("code", "date", "window_id", *(f"pred_{h}" for h in heads), "mode", "position_scale")
+
+
+add("trained_on_features", trained_on_features)

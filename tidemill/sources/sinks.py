@@ -26,6 +26,13 @@ def write_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) ->
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """df written to a new path of the shared folder and read back: for frames that several branches of a plan read. It stays until its owner clears the folder."""
+    path = work_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def write_csv(df: DataFrame, path: str, single: bool = False) -> None:
     """CSV parts with a header; one part only for results known to be small."""
     (df.coalesce(1) if single else df).write.mode("overwrite").option("header", True).csv(path)

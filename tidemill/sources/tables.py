@@ -9,7 +9,7 @@ from pyspark.errors import AnalysisException
 
 from ..functions.scalar import number
 
-#: Headers that mean the same column.
+#: Fixed values (P1, P2): headers that input files have for the same column.
 ALIASES = {
     "日期": "date", "时间": "datetime", "代码": "code", "开盘": "open", "收盘": "close", "最高": "high",
     "最低": "low", "成交量": "volume", "成交额": "amount", "Date": "date", "Close": "close", "money": "amount", "day": "datetime",
