@@ -99,7 +99,7 @@ def bound_batches(spark: SparkSession) -> None:
     """Arrow batches of bounded bytes and rows, so that long texts do not pile up in a worker."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "512")
     try:
-        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
     except Exception:  # the setting is newer than some supported releases
         pass
 

@@ -33,7 +33,7 @@ CHUNK_CHARS = 32768
 OVERLAP_CHARS = 512
 #: A contraction is decided by up to two characters after its apostrophe.
 MARGIN = 4
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 150_000
 
 _CODECS: dict[tuple[str, str], Codec] = {}
 
