@@ -100,3 +100,38 @@ def test_slots_of_a_source_are_spread(spark):
     first = [s for _, s in slots[: len(slots) // 2]]
     share = sum(s == 0 for _, s in slots) / len(slots)
     assert abs(first.count(0) / len(first) - share) < 0.02
+
+
+def test_null_ids_and_clashing_names(spark):
+    rows = [(None, "a b c", "s", 1), (1, "d e", "s", 1), (2, "f g", "s", 1), (3, "h", "t", 1), (None, "a b c", "s", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, x int")
+    got = source_mix.mix(docs).collect()
+    assert sorted(r.size for r in got) == [1, 2, 2, 3, 3] and sum(r.doc_id is None for r in got) == 2
+    taken = sum(r.taken for r in got if r.source_size == 10)
+    assert taken == int(next(r.target for r in got if r.source_size == 10))
+    named = spark.createDataFrame([(*r, 7, 8, 9, 10) for r in rows], "doc_id long, text string, source string, x int, rid int, times int, copy int, slot int")
+    out = source_mix.remix(named)
+    assert out.columns == named.columns and out.filter("doc_id IS NULL").count() > 0
+    assert {(r.rid, r.times, r.copy, r.slot) for r in out.collect()} == {(7, 8, 9, 10)}
+    assert source_mix.remix(named, slot_col="place").columns == [*named.columns, "place"]
+
+
+def test_the_schedule_decides_the_order(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, "w " * 50, "ab"[i % 2]) for i in range(120)], "doc_id long, text string, source string")
+    first = {r.doc_id: r.first_slot for r in source_mix.mix(docs, block_words=16).collect()}
+    monkeypatch.setattr(source_mix, "STEP", 1)
+    other = {r.doc_id: r.first_slot for r in source_mix.mix(docs, block_words=16).collect()}
+    assert first != other
+    # early and late slots have the same share of each source, as the points are spread; in sequence they have not
+    half = sorted(s for s in first.values() if s is not None)[len(first) // 4]
+    early = [i % 2 for i, s in first.items() if s is not None and s < half]
+    assert 0.5 < early.count(0) / len(early) < 0.95
+
+
+def test_a_hot_source_and_a_very_long_text(spark):
+    rows = [(i, "w " * 3, "hot") for i in range(4000)] + [(5000, "long " * 200_000, "other"), (5001, "x", "third")]
+    got = source_mix.mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert len(got) == len(rows)
+    for size in (12_000, 200_000, 1):
+        of = [r for r in got if r.source_size == size]
+        assert sum(r.taken for r in of) == int(of[0].target) and all(0 <= r.taken <= 2 * r.size for r in of)

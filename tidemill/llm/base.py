@@ -66,6 +66,18 @@ def materialize(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def free_names(docs: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores before it as set it apart from the columns of docs."""
+    taken = {c.lower() for c in docs.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only the id and the text, null texts as empty: other columns and their names cannot clash."""
     return docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))

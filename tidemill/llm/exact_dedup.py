@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .base import materialize, read_table, texts
+from .base import free_names, materialize, read_table, texts
 
 
 def refine(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", prefix_chars: int = 128, bits: int = 20, digest_all: bool = False) -> DataFrame:
@@ -77,14 +77,15 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     of rows that repeat both, one stays.
     """
     marked = refine(docs, id_col, text_col)
-    dropped = marked.filter("NOT kept").select(F.col("doc_id").alias("_gone")).distinct()
+    gone, hashed, rid, first = free_names(docs, "gone", "digest", "rid", "first")
+    dropped = marked.filter("NOT kept").select(F.col("doc_id").alias(gone)).distinct()
     if not _repeats(marked):
-        return docs.join(dropped, docs[id_col].eqNullSafe(F.col("_gone")), "left_anti")
+        return docs.join(dropped, docs[id_col].eqNullSafe(F.col(gone)), "left_anti")
     # ids repeat: decide by text as well
     digest = F.sha2(F.coalesce(docs[text_col], F.lit("")), 256)
-    kept = materialize(docs.withColumn("_digest", digest).withColumn("_rid", F.monotonically_increasing_id()), "repeated_rows")
-    groups = kept.groupBy("_digest").agg(F.max(F.struct(F.col(id_col), "_rid")).alias("_k")).select(F.col("_k._rid").alias("_rid"))
-    return kept.join(groups, "_rid", "left_semi").drop("_digest", "_rid")
+    kept = materialize(docs.withColumn(hashed, digest).withColumn(rid, F.monotonically_increasing_id()), "repeated_rows")
+    groups = kept.groupBy(hashed).agg(F.max(F.struct(F.col(id_col), rid)).alias(first)).select(F.col(f"{first}.{rid}").alias(rid))
+    return kept.join(groups, rid, "left_semi").drop(hashed, rid)
 
 
 def _repeats(marked: DataFrame) -> bool:

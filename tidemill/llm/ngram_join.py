@@ -46,7 +46,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .base import arrow_map, bound_batches, materialize, read_table, scratch, texts
+from .base import arrow_map, bound_batches, free_names, materialize, read_table, scratch, texts
 
 BUCKET_BITS = 20
 SLICES = 16
@@ -518,16 +518,18 @@ def keep_one(docs: DataFrame) -> DataFrame:
     Where ids repeat or are null, rows are numbered and joined by their numbers, so a row never goes for
     another one that has its id.
     """
-    ids = docs.groupBy(F.col("doc_id").alias("_id")).agg(F.count("*").alias("_n"))
-    if not ids.filter("_n > 1 OR _id IS NULL").limit(1).count():
+    ids = docs.groupBy(F.col("doc_id").alias("id")).agg(F.count("*").alias("n"))
+    away, rid = free_names(docs, "away", "rid")
+    if not ids.filter("n > 1 OR id IS NULL").limit(1).count():
         members, _ = join(docs)
-        gone = members.filter("doc_id != component_id").select(F.col("doc_id").alias("_gone"))
-        return docs.join(gone, docs["doc_id"] == F.col("_gone"), "left_anti")
-    numbered = materialize(docs.withColumn("_rid", F.monotonically_increasing_id()), "numbered", keep=True)
-    members, _ = join(numbered, id_col="_rid")
-    members = members.select(F.col("doc_id").alias("_rid"), F.col("component_id").alias("_component"))
-    first = members.join(numbered.select("_rid", "doc_id"), "_rid").groupBy("_component").agg(F.min(F.struct("doc_id", "_rid")).alias("_k"))
-    return numbered.join(first.select(F.col("_k._rid").alias("_rid")), "_rid", "left_semi").drop("_rid")
+        gone = members.filter("doc_id != component_id").select(F.col("doc_id").alias(away))
+        return docs.join(gone, docs["doc_id"] == F.col(away), "left_anti")
+    numbered = materialize(docs.withColumn(rid, F.monotonically_increasing_id()), "numbered", keep=True)
+    members, _ = join(numbered, id_col=rid)
+    members = members.select(F.col("doc_id").alias("row"), F.col("component_id").alias("component"))
+    ids = numbered.select(F.col(rid).alias("row"), "doc_id")
+    first = members.join(ids, "row").groupBy("component").agg(F.min(F.struct("doc_id", "row")).alias("least"))
+    return numbered.join(first.select(F.col("least.row").alias(rid)), rid, "left_semi").drop(rid)
 
 
 def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

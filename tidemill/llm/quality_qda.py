@@ -12,7 +12,8 @@ a documented bound; every document is scored.
 Defined results: null text counts as empty and is scored like any other; labels other
 than 0 and 1, null labels and unlabelled ids are not learned from; with no labelled rows
 of one of the classes every score is the share of label 1 (0.5 with no labels at all);
-repeated rows are scored alike; only the id and the text are read.
+repeated rows are scored alike; a row with a null id is scored, and not held out; only the
+id and the text are read.
 """
 
 from __future__ import annotations
@@ -144,8 +145,8 @@ def score(docs: DataFrame, model: Discriminant) -> DataFrame:
 
 
 def held_out(remainder: int, of: int):
-    """Whether crc32 of the id as text leaves this remainder."""
-    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % of == remainder
+    """Whether crc32 of the id as text leaves this remainder. A null id leaves none."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % of == remainder, F.lit(False))
 
 
 def learnable(labels: DataFrame) -> DataFrame:

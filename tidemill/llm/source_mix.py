@@ -7,6 +7,9 @@ source whose interval of the cumulative weights holds that point.  The r-th slot
 source takes block ``r mod n_blocks`` of that source, in pass ``r div n_blocks``.  A
 source's last slot is cut so that it takes its target to the word.
 
+So a document's words come from the slots of its blocks: ``first_slot`` is the first one,
+its place in the mix, by which rows are put into the order of the schedule.
+
 Slots are ranked within fixed runs of slots and the runs are added up, and documents are
 placed within hash buckets and the buckets are added up, so no window holds a whole
 source, however hot it is.
@@ -17,8 +20,9 @@ what is over is shared again by weight.  The fixed point is ``min(cap, level * w
 found in one pass over the sources ordered by cap / weight.
 
 Defined results: null or empty texts have size 0, take 0 words and stay in the result; an
-empty table gives an empty result; repeated rows are separate documents; ties in the
-shuffled order are settled by a row number; no other column is read.
+empty table gives an empty result; repeated rows are separate documents, and so are rows with
+a null id, which come in the shuffled order where an empty id would; ties in that order are
+settled by a row number; no other column is read.
 """
 
 from __future__ import annotations
@@ -26,7 +30,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .base import WORD, materialize, read_table
+from .base import WORD, free_names, materialize, read_table
 
 #: Modulus and odd multiplier of the golden-ratio sequence in integers: 0.6180339887 * 2 ** 31.
 PERIOD = 1 << 31
@@ -57,7 +61,7 @@ def source_targets(sized: DataFrame, weights: tuple[float, ...] = (5, 2, 1), sha
 
 
 def mix(docs: DataFrame, block_words: int = 256, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """Rows (doc_id, rid, size, source_size, target, taken), one for each input row."""
+    """Rows (doc_id, rid, size, source_size, target, taken, first_slot), one for each input row. first_slot is missing where nothing is taken."""
     placed, sources = _placed(docs, block_words, id_col, text_col, source_col)
     slots = schedule(sources, block_words)
     pieces = placed.filter("size > 0").withColumn(
@@ -67,9 +71,8 @@ def mix(docs: DataFrame, block_words: int = 256, id_col: str = "doc_id", text_co
     last = F.least(F.col("at") + F.col("size"), (F.col("block") + 1) * block_words)
     pieces = pieces.select("rid", "sid", "block", (first - F.col("block") * block_words).alias("off"), (last - first).alias("words"))
     got = F.greatest(F.lit(0).cast("long"), F.least(F.col("take"), F.col("off") + F.col("words")) - F.col("off"))
-    taken = pieces.join(slots.select("sid", "block", "take"), ["sid", "block"]).groupBy("rid").agg(F.sum(got).alias("taken"))
-    out = placed.join(taken, "rid", "left").select("doc_id", "rid", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
-    return out
+    taken = pieces.join(slots.select("sid", "block", "take", "slot"), ["sid", "block"]).groupBy("rid").agg(F.sum(got).alias("taken"), F.min(F.when(got > 0, F.col("slot"))).alias("first_slot"))
+    return placed.join(taken, "rid", "left").select("doc_id", "rid", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), F.col("first_slot").cast("long").alias("first_slot"))
 
 
 def _placed(docs: DataFrame, block_words: int, id_col: str, text_col: str, source_col: str) -> tuple[DataFrame, DataFrame]:
@@ -79,7 +82,7 @@ def _placed(docs: DataFrame, block_words: int, id_col: str, text_col: str, sourc
         docs.select(F.col(id_col).alias("doc_id"), F.monotonically_increasing_id().alias("rid"), F.col(source_col).alias("source"), size.alias("size")), "sizes"
     )
     sources = materialize(source_targets(sized), "sources")
-    order = F.md5(F.col("doc_id").cast("string"))
+    order = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
     rows = sized.join(sources, sized["source"].eqNullSafe(sources["source"])).drop("source")
     rows = rows.withColumn("order", order).withColumn("bucket", F.substring("order", 1, 3))
     totals = rows.groupBy("sid", "bucket").agg(F.sum("size").alias("words"))
@@ -130,24 +133,27 @@ def schedule(sources: DataFrame, block_words: int) -> DataFrame:
     return slots.select("slot", "sid", "rank", "block", "pass", F.least(length, left).alias("take"))
 
 
-def remix(docs: DataFrame, **options) -> DataFrame:
+def remix(docs: DataFrame, slot_col: str | None = None, **options) -> DataFrame:
     """docs as the mix takes them: each row as often as the mix takes its words, rounded; all columns.
 
+    slot_col: name of a further column with the row's place in the mix, to write the rows in that order.
     docs is read twice and its rows are told apart by their place, so it must come from stored files, as the
     documents table and the stages of the pipeline do, or from another source that repeats its partitions.
     """
     options = {"id_col": "doc_id", "text_col": "text", "source_col": "source"} | options
-    numbered = docs.withColumn("_rid", F.monotonically_increasing_id())
-    taken = mix(docs, **options).filter("size > 0").select(F.col("rid").alias("_rid"), F.round(F.col("taken") / F.col("size")).cast("int").alias("_times"))
-    out = numbered.join(taken.filter("_times > 0"), "_rid")
-    return out.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).drop("_rid", "_times", "_copy")
+    rid, times, copy, slot = free_names(docs, "rid", "times", "copy", "slot")
+    numbered = docs.withColumn(rid, F.monotonically_increasing_id())
+    taken = mix(docs, **options).filter("size > 0").select(F.col("rid").alias(rid), F.round(F.col("taken") / F.col("size")).cast("int").alias(times), F.col("first_slot").alias(slot))
+    out = numbered.join(taken.filter(F.col(times) > 0), rid)
+    out = out.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(times)))).drop(rid, times, copy)
+    return out.withColumnRenamed(slot, slot_col) if slot_col else out.drop(slot)
 
 
 def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix(read_table(spark, sf_dir, "documents")).drop("rid")
+    return mix(read_table(spark, sf_dir, "documents")).drop("rid").withColumn("first_slot", F.coalesce("first_slot", F.lit(-1).cast("long")))
 
 
-SQL = """
+SQL = f"""
 WITH sized AS (
   SELECT doc_id, source,
          CAST(coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS BIGINT) AS size
@@ -162,13 +168,29 @@ levels AS (
             / sum(weight) OVER (ORDER BY cap / weight, sid ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
   FROM weighed),
 targets AS (
-  SELECT source, source_size, least(cap, weight * (SELECT max(level) FROM levels WHERE level <= cap / weight)) AS target FROM levels),
+  SELECT source, sid, source_size, least(cap, weight * (SELECT max(level) FROM levels WHERE level <= cap / weight)) AS target FROM levels),
+need AS (
+  SELECT sid, source_size, CAST(floor(target) AS BIGINT) AS words, CAST(floor(floor(target) / source_size) AS BIGINT) AS whole
+  FROM targets WHERE source_size > 0),
+slots AS (
+  SELECT sid, CAST(whole * ceil(source_size / 256) + ceil((words - whole * source_size) / 256) AS BIGINT) AS n FROM need),
+shares AS (
+  SELECT sid, n, CAST(floor(sum(n) OVER (ORDER BY sid) / sum(n) OVER () * {PERIOD}) AS BIGINT) AS hi,
+         CAST(floor((sum(n) OVER (ORDER BY sid) - n) / sum(n) OVER () * {PERIOD}) AS BIGINT) AS lo
+  FROM slots WHERE n > 0),
+points AS (
+  SELECT slot, slot % {PERIOD} * {STEP} % {PERIOD} AS u
+  FROM (SELECT unnest(generate_series(0, (SELECT CAST(sum(n) AS BIGINT) FROM slots) - 1)) AS slot)),
+drawn AS (
+  SELECT sid, slot, row_number() OVER (PARTITION BY sid ORDER BY slot) - 1 AS place
+  FROM points JOIN shares ON u >= lo AND u < hi),
 placed AS (
-  SELECT d.doc_id, d.size, t.source_size, t.target,
-         CAST(sum(d.size) OVER (PARTITION BY d.source ORDER BY md5(CAST(d.doc_id AS VARCHAR)), d.doc_id) - d.size AS BIGINT) AS a,
+  SELECT d.doc_id, d.size, t.source_size, t.target, t.sid,
+         CAST(sum(d.size) OVER (PARTITION BY d.source ORDER BY md5(coalesce(CAST(d.doc_id AS VARCHAR), '')), d.doc_id) - d.size AS BIGINT) AS a,
          CAST(floor(t.target) AS BIGINT) AS words
   FROM sized d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source)
 SELECT doc_id, size, source_size, target,
-       CAST(greatest(0, least(a + size, words) - a) + greatest(0, least(a + size, words - source_size) - a) AS BIGINT) AS taken
-FROM placed
+       CAST(greatest(0, least(a + size, words) - a) + greatest(0, least(a + size, words - source_size) - a) AS BIGINT) AS taken,
+       CASE WHEN size > 0 AND a < words THEN CAST(coalesce(slot, (SELECT sum(n) FROM slots)) AS BIGINT) ELSE -1 END AS first_slot
+FROM placed LEFT JOIN drawn ON drawn.sid = placed.sid AND drawn.place = floor(a / 256)
 """

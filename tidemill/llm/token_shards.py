@@ -277,8 +277,11 @@ class ShardReader:
         return self.ids(place) if place < self.n_docs and self.index["doc_id"][place] == doc_id else None
 
 
-def read(shards: DataFrame) -> DataFrame:
-    """Rows (doc_id, start, n_tokens, ids) of the shard files; ids as little-endian unsigned 32-bit integers."""
+def read(shards: DataFrame, digest: bool = False) -> DataFrame:
+    """Rows (doc_id, start, n_tokens, ids) of the shard files; ids as little-endian unsigned 32-bit integers.
+
+    digest: their CRC-32, ids_crc32, in place of the ids, which then stay in the task.
+    """
 
     def run(batches):
         for b in batches:
@@ -289,11 +292,12 @@ def read(shards: DataFrame) -> DataFrame:
                         places = range(lo, min(lo + 256, shard.n_docs))
                         ids = [shard.ids(i) for i in places]
                         named = [None if i == NO_ID else i for i in shard.index["doc_id"][lo : lo + 256].tolist()]
-                        yield {"doc_id": named, "start": starts[lo : lo + len(ids)], "n_tokens": [len(x) for x in ids], "ids": [x.tobytes() for x in ids]}
+                        last = {"ids_crc32": [zlib.crc32(x) for x in ids]} if digest else {"ids": [x.tobytes() for x in ids]}
+                        yield {"doc_id": named, "start": starts[lo : lo + len(ids)], "n_tokens": [len(x) for x in ids]} | last
 
-    return arrow_map(shards.select("uri", "before", "shard").repartition(max(1, min(shards.count(), 4096)), "shard"), run, "doc_id long, start long, n_tokens long, ids binary")
+    return arrow_map(shards.select("uri", "before", "shard").repartition(max(1, min(shards.count(), 4096)), "shard"), run, "doc_id long, start long, n_tokens long, " + ("ids_crc32 long" if digest else "ids binary"))
 
 
 def op9_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     shards = write(read_table(spark, sf_dir, "documents"), fresh_path(spark, "ids"))
-    return read(shards).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+    return read(shards, digest=True)

@@ -16,7 +16,8 @@ Every document is scored over its whole text.
 Defined results: null text counts as empty and scores like a text without features;
 labels other than 0 and 1, null labels and unlabelled ids are not learned from; with one
 class only, every score is that class's share (0 with no labels at all); repeated rows
-score alike; an empty table gives an empty result; only the id and the text are read.
+score alike; a row with a null id is scored, and not held out; an empty table gives an
+empty result; only the id and the text are read.
 """
 
 from __future__ import annotations
