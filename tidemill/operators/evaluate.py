@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.sinks import stored
+from . import ranks as R
 
 
 @dataclass(frozen=True)
@@ -51,6 +53,10 @@ def regression_metrics(df: DataFrame, target: str, prediction: str, *key: str) -
     w = Window.partitionBy(*key)
     df = df.select(*key, F.col(target).alias("y"), F.col(prediction).alias("p")).filter("y IS NOT NULL AND p IS NOT NULL")
     df = df.withColumns({"ry": average_rank("y", *key), "rp": average_rank("p", *key), "mean": F.avg("y").over(w), "hi": F.percentile("p", F.lit(0.8)).over(w), "lo": F.percentile("p", F.lit(0.2)).over(w)})
+    return _regression(df, *key)
+
+
+def _regression(df: DataFrame, *key: str) -> DataFrame:
     error, spread = F.col("p") - F.col("y"), F.col("y") - F.col("mean")
     return df.groupBy(*key).agg(
         F.avg(F.abs(error)).alias("mae"),
@@ -62,6 +68,16 @@ def regression_metrics(df: DataFrame, target: str, prediction: str, *key: str) -
     )
 
 
+def regression_metrics_ranged(df: DataFrame, target: str, prediction: str, *key: str) -> DataFrame:
+    """regression_metrics for keys that may hold all rows: ranks and quantiles come from ranges of values, and no window holds a key."""
+    rows = stored(df.select(*key, F.col(target).alias("y"), F.col(prediction).alias("p")).filter("y IS NOT NULL AND p IS NOT NULL"), "pairs")
+    of_p = stored(R.value_ranks(rows, "p", *key), "ranks")
+    of_y = R.value_ranks(rows, "y", *key)
+    whole = rows.groupBy(*key).agg(F.avg("y").alias("mean")).join(R.quantile_of_ranks(of_p, "p", {"hi": 0.8, "lo": 0.2}, *key), list(key))  # a row a key
+    rows = rows.join(of_p.select(*key, "p", F.col("average_rank").alias("rp")), [*key, "p"]).join(of_y.select(*key, "y", F.col("average_rank").alias("ry")), [*key, "y"])
+    return _regression(rows.join(whole, list(key)), *key)
+
+
 def f_beta(precision: Column, recall: Column, beta) -> Column:
     b = beta * beta
     return F.coalesce(F.try_divide(precision * recall * (1 + b), precision * b + recall), F.lit(0.0))
@@ -105,6 +121,20 @@ def roc_auc(df: DataFrame, truth: str, score: str, *key: str) -> DataFrame:
     return ranked.groupBy(*key).agg(F.try_divide(F.sum(F.when(F.col(truth) == 1, F.col("_r"))) - pos * (pos + 1) / 2, pos * (n - pos)).alias("roc_auc"))
 
 
+def ranking_metrics_ranged(df: DataFrame, truth: str, score: str, *key: str) -> DataFrame:
+    """roc_auc and average_precision in one pass over ranges of scores, for keys that may hold all rows."""
+    ranks = stored(R.value_ranks(df, score, *key, sums={"pos": F.col(truth)}), "ranks")
+    all_ = ranks.groupBy(*key).agg(F.sum("n").alias("_n"), F.sum("pos").alias("_pos"))
+    each = ranks.join(all_, list(key))
+    # from high to low: what is not below a score is called
+    called, hits = F.col("_n") - F.col("below"), F.col("_pos") - F.col("below_pos")
+    pos, n = F.first("_pos"), F.first("_n")
+    return each.groupBy(*key).agg(
+        F.try_divide(F.sum(F.col("pos") * F.col("average_rank")) - pos * (pos + 1) / 2, pos * (n - pos)).alias("roc_auc"),
+        F.coalesce(F.sum(F.try_divide(F.col("pos"), F.col("_pos")) * hits / called), F.lit(0.0)).alias("average_precision"),
+    )
+
+
 def class_weight(df: DataFrame, truth: str, *key: str) -> DataFrame:
     pos, neg = F.count_if(F.col(truth) == 1), F.count_if(F.col(truth) == 0)
     return df.groupBy(*key).agg(F.when(pos == 0, 1.0).otherwise(F.greatest(F.lit(1.0), F.try_divide(neg, pos))).alias("weight"))
@@ -147,6 +177,13 @@ def score_bucket(x: str, buckets: int, order: tuple[str, ...], *key: str) -> Col
     return F.when(here, F.when(q <= 1, 1).otherwise(F.greatest(F.lit(1), F.ceil((r - 1) * q / (n - 1))))).cast("int")
 
 
+def bucket_heads(df: DataFrame, heads: dict[str, tuple[str, Column]], buckets: int, order: tuple[str, ...], *key: str) -> DataFrame:
+    """Rows of df for each head of (score column, outcome), with head, score, outcome and bucket: heads share one sort by (key, head)."""
+    rows = F.explode(F.array(*(F.struct(F.lit(h).alias("head"), F.col(s).cast("double").alias("score"), y.cast("double").alias("outcome")) for h, (s, y) in heads.items())))
+    long = df.select("*", rows.alias("_h")).select(*df.columns, "_h.*")
+    return long.withColumn("bucket", score_bucket("score", buckets, order, *key, "head"))
+
+
 def first_rank(x: str, order: tuple[str, ...], *key: str, descending: bool = False) -> Column:
     """1 to n by value; ties by order."""
     return F.row_number().over(Window.partitionBy(*key).orderBy(F.col(x).desc() if descending else F.col(x), *order))

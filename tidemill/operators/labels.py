@@ -7,9 +7,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalar import change, int_flag, quantile, ratio
+from ..functions.scalar import change, int_flag, ratio
+from ..sources.sinks import stored
 from . import daily as D
 from . import intraday as I
+from . import sketches as Q
 from .replay import Market, replay
 
 
@@ -107,13 +109,16 @@ def anomaly_samples(df: DataFrame, limit: int = 20) -> DataFrame:
     return df.filter("suspicious_flag = 1").withColumn("sample", F.row_number().over(order)).filter(F.col("sample") <= limit)
 
 
-def describe(df: DataFrame, columns: tuple[str, ...], accuracy: int | None = None) -> DataFrame:
-    """count, mean, sample deviation, min, 10th, 50th, 90th percentile and max of columns. accuracy: see quantile; for many rows."""
-    one = lambda c: F.struct(
-        F.lit(c).alias("column_name"), F.count(c).alias("n"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("deviation"), F.min(c).alias("least"),
-        *(quantile(c, p, accuracy).alias(f"p{int(p * 100)}") for p in (0.1, 0.5, 0.9)), F.max(c).alias("most"),
-    )
-    return df.agg(*(one(c).alias(c) for c in columns)).select(F.explode(F.array(*columns)).alias("s")).select("s.*")
+def describe(df: DataFrame, columns: tuple[str, ...], size: int = Q.SIZE) -> DataFrame:
+    """count, mean, sample deviation, min, 10th, 50th, 90th percentile and max of columns, exact. size: of the sketches that
+    bracket the percentiles; no group's values are held."""
+    cells = F.explode(F.array(*(F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("x")) for c in columns)))
+    long = stored(df.select(cells.alias("c")).select("c.*"), "cells")
+    stats = stored(long.groupBy("column_name").agg(
+        F.count("x").alias("n"), F.avg("x").alias("mean"), F.stddev_samp("x").alias("deviation"), F.min("x").alias("least"), F.max("x").alias("most"), Q.sketch("x", size).alias("sketch")
+    ), "stats")
+    places = Q.exact_quantiles(long, "x", {"p10": 0.1, "p50": 0.5, "p90": 0.9}, ("column_name",), stats.select("column_name", "sketch"), size=size)
+    return stats.drop("sketch").join(places, "column_name", "left").select("column_name", "n", "mean", "deviation", "least", "p10", "p50", "p90", "most")
 
 
 def day_stats(bars: DataFrame, parts: LabelBars = LabelBars(), market: Market = Market(), x: Reversion = Reversion()) -> DataFrame:

@@ -50,15 +50,19 @@ def numbered(df: DataFrame, key: tuple[str, ...], order: tuple[Column, ...], nam
     return whole.withColumn(name, (F.row_number().over(within) + F.col("_before_rows")).cast("long")).drop(PART, "_before_rows")
 
 
-def value_ranks(df: DataFrame, value: str, *key: str, ranges: int | None = None) -> DataFrame:
+def value_ranks(df: DataFrame, value: str, *key: str, sums: dict[str, Column] | None = None, ranges: int | None = None) -> DataFrame:
     """One row for each key and distinct value: n (rows that have it), below (rows with lesser values), average_rank
-    (from 1, ties at their mean). Missing values are left out."""
-    counts = df.filter(F.col(value).isNotNull()).groupBy(*key, value).agg(F.count("*").alias("n"))
+    (from 1, ties at their mean). Missing values are left out. sums: more whole numbers that are added up, by name;
+    each gives its sum over the value's rows, and below_<name> over lesser values."""
+    sums = sums or {}
+    counts = df.filter(F.col(value).isNotNull()).groupBy(*key, value).agg(F.count("*").alias("n"), *(F.sum(v).cast("long").alias(k) for k, v in sums.items()))
+    names = ["n", *sums]
     ranged = _ranges(counts, key, (F.col(value).asc(),), ranges)
-    whole = _joined(ranged, _carried(ranged, key, {"n": F.sum("n")}), key, ["n"])
+    whole = _joined(ranged, _carried(ranged, key, {k: F.sum(k) for k in names}), key, names)
     within = Window.partitionBy(*key, PART).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    below = F.coalesce(F.sum("n").over(within), F.lit(0)) + F.col("_before_n")
-    return whole.withColumn("below", below.cast("long")).withColumn("average_rank", F.col("below") + (F.col("n") + 1) / 2).drop(PART, "_before_n")
+    below = {k: (F.coalesce(F.sum(k).over(within), F.lit(0)) + F.col(f"_before_{k}")).cast("long") for k in names}
+    whole = whole.withColumns({"below" if k == "n" else f"below_{k}": v for k, v in below.items()})
+    return whole.withColumn("average_rank", F.col("below") + (F.col("n") + 1) / 2).drop(PART, *(f"_before_{k}" for k in names))
 
 
 def with_average_rank(df: DataFrame, value: str, name: str, *key: str, ranges: int | None = None) -> DataFrame:
@@ -72,7 +76,11 @@ def with_average_rank(df: DataFrame, value: str, name: str, *key: str, ranges: i
 
 def quantile(df: DataFrame, value: str, at: dict[str, float], *key: str, ranges: int | None = None) -> DataFrame:
     """Exact quantiles with linear interpolation: a row a key, a column for each name in at."""
-    ranks = stored(value_ranks(df, value, *key, ranges=ranges), "value_ranks")
+    return quantile_of_ranks(stored(value_ranks(df, value, *key, ranges=ranges), "value_ranks"), value, at, *key)
+
+
+def quantile_of_ranks(ranks: DataFrame, value: str, at: dict[str, float], *key: str) -> DataFrame:
+    """The same from a table of value_ranks."""
     total = ranks.groupBy(*key).agg(F.sum("n").alias("_total"))
     picked = []
     for name, q in at.items():

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import quantile
 from .decision import controls
-from .evaluate import score_bucket
+from .evaluate import bucket_heads
 
 MODES = ("OFF", "SAFE", "NORMAL", "AGGRESSIVE")
 MODE_SEGMENTS = ("ALL", *MODES, "SAFE_OR_OFF", "NORMAL_OR_AGGRESSIVE")
@@ -78,7 +78,13 @@ def scored_table(df: DataFrame, heads: tuple[str, ...], order: tuple[str, ...],
     Needs pred_<head>, target_<head> and the classification heads' threshold_<head>.
     """
     df = df.withColumns({f"on_{h}": F.coalesce(F.col(f"pred_{h}") >= F.col(f"threshold_{h}"), F.lit(False)) for h in heads if f"threshold_{h}" in df.columns})
-    df = controls(df).withColumns({f"bucket_{h}": score_bucket(f"pred_{h}", buckets, order, *key) for h in heads})
+    df = controls(df)
+    # one row for each head and row is ranked in one sort, and comes back as a column for each head
+    keys = list(dict.fromkeys((*key, *order)))
+    scores = {h: (f"pred_{h}", F.lit(None)) for h in heads}
+    numbers = bucket_heads(df.select(*keys, *(f"pred_{h}" for h in heads)), scores, buckets, order, *key)
+    numbers = numbers.groupBy(*keys).agg(*(F.max(F.when(F.col("head") == h, F.col("bucket"))).alias(f"bucket_{h}") for h in heads))
+    df = df.join(numbers, keys)
     for h in ("downside", "downside_from_open"):
         if {f"pred_{h}", f"target_{h}"} <= set(df.columns):
             error = F.col(f"pred_{h}") - F.col(f"target_{h}")
@@ -86,13 +92,13 @@ def scored_table(df: DataFrame, heads: tuple[str, ...], order: tuple[str, ...],
     return df
 
 
-def bucket_summary(df: DataFrame, heads: dict[str, tuple[str, str, str]], *key: str) -> DataFrame:
-    """Heads are (score, bucket, outcome) columns; one row for each head and bucket."""
-    rows = F.explode(F.array(*(F.struct(F.lit(h).alias("head"), F.col(s).alias("score"), F.col(b).alias("bucket"), F.col(t).cast("double").alias("outcome")) for h, (s, b, t) in heads.items())))
-    long = df.select("*", rows.alias("_h")).select(*df.columns, "_h.*").filter("bucket IS NOT NULL")
+def bucket_summary(df: DataFrame, heads: dict[str, tuple[str, str]], order: tuple[str, ...], *key: str, buckets: int = 5) -> DataFrame:
+    """Heads are (score, outcome) columns; one row for each head and bucket of its scores."""
+    columns = list(dict.fromkeys((*key, *order, *(s for s, _ in heads.values()), *(t for _, t in heads.values()), "target_grid_pnl", "target_upside", "target_downside", *(f"target_{c}" for c in OUTCOMES))))
+    long = bucket_heads(df.select(*columns), {h: (s, F.col(t)) for h, (s, t) in heads.items()}, buckets, order, *key).filter("bucket IS NOT NULL")
     out = long.groupBy(*key, "head", "bucket").agg(
         F.count("*").alias("n"), F.avg("score").alias("score_mean"), F.min("score").alias("score_min"), F.max("score").alias("score_max"), F.avg("outcome").alias("outcome_mean"),
         F.avg("target_grid_pnl").alias("pnl_mean"), F.avg("target_upside").alias("upside_mean"), F.avg("target_downside").alias("downside_mean"), *rates(),
     )
     total = df.groupBy(*key).agg(F.count("*").alias("_all"))
-    return out.join(total, list(key)).withColumn("share", F.try_divide("n", "_all")).drop("_all") if key else out.join(total).withColumn("share", F.try_divide("n", "_all")).drop("_all")
+    return (out.join(total, list(key)) if key else out.join(total)).withColumn("share", F.try_divide("n", "_all")).drop("_all")

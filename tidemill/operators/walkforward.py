@@ -11,6 +11,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.sinks import stored
+from . import sketches as Q
+
 from .segments import MODES
 
 
@@ -93,15 +96,23 @@ def with_verdicts(rows: DataFrame, verdicts: DataFrame, *key: str) -> DataFrame:
     return rows.join(verdicts.select(*key, "window_id", "normal_beats_safe", "normal_minus_safe", "severity"), [*key, "window_id"], "left")
 
 
-def cohorts(rows: DataFrame) -> DataFrame:
-    """NORMAL and SAFE rows by verdict; a missing verdict counts as good."""
+def cohorts(rows: DataFrame, size: int = Q.SIZE) -> DataFrame:
+    """NORMAL and SAFE rows by verdict; a missing verdict counts as good. The percentile is exact: sketches of the windows are
+    merged into brackets (size: of a sketch), so that no group's values are held."""
     cohort = F.when(F.coalesce("normal_beats_safe", F.lit(True)), "good_windows").otherwise("failure_windows")
     means = {"positive_grid_day_rate": "target_positive_grid_day", "tradable_rate": "target_tradable", "hostile_rate": "target_hostile_selloff_risk", "reversion_rate": "target_vwap_reversion", "pred_grid_mean": "pred_positive_grid_day", "pred_tradable_mean": "pred_tradable", "pred_hostile_mean": "pred_hostile_selloff_risk", "pred_reversion_mean": "pred_vwap_reversion", "scale_mean": "position_scale", "width_scale_mean": "grid_width_scale"}
     pnl = F.col("target_grid_pnl")
-    return rows.filter(F.col("mode").isin("NORMAL", "SAFE")).groupBy("mode", cohort.alias("cohort")).agg(
-        F.count("*").alias("n"), F.countDistinct("code", "window_id").alias("n_windows"), F.avg(pnl).alias("pnl_mean"), F.percentile(pnl, F.lit(0.1)).alias("pnl_p10"), F.min(pnl).alias("pnl_worst"),
-        *(F.avg(c).alias(k) for k, c in means.items()),
-    )
+    rows = rows.filter(F.col("mode").isin("NORMAL", "SAFE")).select("mode", cohort.alias("cohort"), "code", "window_id", pnl.alias("pnl"), *dict.fromkeys(means.values()))
+    rows = stored(rows, "cohort_rows")
+    # a row for each window, whose sums and sketches any cohort of windows is made of
+    parts = rows.groupBy("mode", "cohort", "code", "window_id").agg(F.count("*").alias("n"), F.min("pnl").alias("worst"), Q.sketch("pnl", size).alias("sketch"), *(f(c).alias(f"{k}_{c}") for c in ("pnl", *dict.fromkeys(means.values())) for k, f in (("s", F.sum), ("n", F.count))))
+    mean = lambda c: F.try_divide(F.sum(f"s_{c}"), F.sum(f"n_{c}"))
+    whole = stored(parts.groupBy("mode", "cohort").agg(
+        F.sum("n").alias("n"), F.count("*").alias("n_windows"), mean("pnl").alias("pnl_mean"), F.min("worst").alias("pnl_worst"), F.kll_merge_agg_double("sketch", F.lit(size)).alias("sketch"),
+        *(mean(c).alias(k) for k, c in means.items()),
+    ), "cohorts")
+    low = Q.exact_quantiles(rows, "pnl", {"pnl_p10": 0.1}, ("mode", "cohort"), whole.select("mode", "cohort", "sketch"), size=size)
+    return whole.drop("sketch").join(low, ["mode", "cohort"], "left").select("mode", "cohort", "n", "n_windows", "pnl_mean", "pnl_p10", "pnl_worst", *means)
 
 
 def feature_deltas(rows: DataFrame, columns: tuple[str, ...]) -> DataFrame:

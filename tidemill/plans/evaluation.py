@@ -131,8 +131,7 @@ _RATE_COLUMNS = " ".join(f"{c}_rate" for c in G.OUTCOMES)
 
 
 def buckets(s, d):
-    df = scored(s, d).withColumns({f"bucket_{h}": E.score_bucket(p, 5, ("date",), "code") for h, (p, _) in _HEADS.items()})
-    return G.bucket_summary(df, {h: (p, f"bucket_{h}", t) for h, (p, t) in _HEADS.items()}, "code")
+    return G.bucket_summary(scored(s, d), _HEADS, ("date",), "code")
 
 
 add(
@@ -178,7 +177,7 @@ add(
 def comparison(s, d):
     df = scored(s, d)
     both = df.withColumn("scope", F.lit("all_days")).unionAll(df.filter("suspicious_flag = 0").withColumn("scope", F.lit("non_suspicious_days")))
-    return E.regression_metrics(both, "target_downside", "pred_downside", "scope")
+    return E.regression_metrics_ranged(both, "target_downside", "pred_downside", "scope")
 
 
 add(
@@ -188,6 +187,14 @@ add(
     + _RANKED.format(y="target_downside", p="pred_downside", t="s").replace("code", "scope") + f" SELECT {_REG.replace('code', 'scope')} FROM ranked GROUP BY scope",
     _REG_NAMES,
 )
+add(
+    "ranking_metrics",
+    lambda s, d: E.ranking_metrics_ranged(scored(s, d).withColumn("scope", F.lit("all_days")), "target_tradable", "pred_tradable", "scope"),
+    f"""WITH {SCORED}, s AS (SELECT *, 'all_days' AS scope FROM scored), a AS ({AP.format(k='scope', p='pred_tradable', y='target_tradable', t='s')}),
+      r AS (SELECT scope, target_tradable AS y, rank() OVER (ORDER BY pred_tradable) + (count(*) OVER (PARTITION BY pred_tradable) - 1) / 2.0 AS r FROM s)
+      SELECT scope, (sum(r) FILTER (y = 1) - sum(y) * (sum(y) + 1) / 2) / nullif(sum(y) * (count(*) - sum(y)), 0) AS roc_auc, max(average_precision) AS average_precision FROM r JOIN a USING (scope) GROUP BY scope""",
+    "roc_auc average_precision",
+)
 add(
     "top_shares",
     lambda s, d: E.top_shares(S.order_days(s, d), "amount", 30, ("date",), "code").select("code", "date", "rank", "amount", "share"),

@@ -33,6 +33,12 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a path that work_path gave, with the folder made for it."""
+    whole = spark._jvm.org.apache.hadoop.fs.Path(path).getParent()
+    whole.getFileSystem(spark._jsc.hadoopConfiguration()).delete(whole, True)
+
+
 def write_csv(df: DataFrame, path: str, single: bool = False) -> None:
     """CSV parts with a header; one part only for results known to be small."""
     (df.coalesce(1) if single else df).write.mode("overwrite").option("header", True).csv(path)
