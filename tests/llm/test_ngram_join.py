@@ -114,3 +114,14 @@ def test_empty_table_and_keep_one(spark):
     docs = spark.createDataFrame([(3, "a b c d e f"), (1, "A b c d e f"), (2, None)], "doc_id long, text string")
     assert sorted(r.doc_id for r in ngram_join.keep_one(docs).collect()) == [1, 2]
     assert ngram_join.join(docs.filter("doc_id > 9"))[0].collect() == []
+
+
+def test_the_bound_of_common_buckets_grows_with_the_corpus():
+    import numpy as np
+
+    from tidemill.llm import ngram_join as N
+
+    even = np.full(1000, 100 * N.COMMON)
+    assert N.common_from(np.full(1000, 3)) == N.COMMON and not (even >= N.common_from(even)).any()
+    even[7] *= 50
+    assert (even >= N.common_from(even)).sum() == 1

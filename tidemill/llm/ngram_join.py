@@ -8,7 +8,10 @@ are told apart by 128 bits, and where two of them share a name, they get longer-
 Order.  Shingles are ordered by how often their hash bucket occurs in the whole corpus,
 rarest first, then by hash: a total order that all documents share, which is all that
 prefix filtering needs.  The table of ``2 ** BUCKET_BITS`` counts has a fixed size; a
-bucket counted once holds a shingle that no other document has.
+bucket counted once holds a shingle that no other document has.  With more distinct shingles
+than buckets a count is that of some hundred shingles together: then only shingles that
+are common beside those are told apart, which come last, and the rest are in the order of
+their buckets; any order gives the same links.
 
 Prefix.  A set of n shingles is indexed by its first ``n - ceil(0.8 n) + 1``; linked sets
 share one of these.  One shuffle by shingle leaves the entries whose shingle is shared.
@@ -53,8 +56,9 @@ SLICES = 16
 PARTS = 64
 LONGS = 4
 PIVOT_ROUNDS = 2
-#: Entries of shingles in buckets this full are taken to be shared without a look.
+#: Entries of shingles in buckets this full, and this many times as full as the mean bucket, are taken to be shared without a look.
 COMMON = 50_000
+COMMON_TIMES = 8
 KEY_BITS = 22
 VOCABULARY = 100_000
 #: Bits of a class's name, and how many sets whose name is another's are held in a driver (at 64 bits, a few in 10 ** 10).
@@ -235,10 +239,16 @@ def document_rows(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
     return rows.filter("slice IS NULL").drop("slice", "counts"), total
 
 
+def common_from(counts: np.ndarray) -> int:
+    """The bucket count from which a bucket holds a common shingle. It grows with the mean, so a corpus of any size has few such buckets."""
+    return max(COMMON, COMMON_TIMES * int(counts.mean()))
+
+
 def shared_entries(docs: DataFrame, counts: np.ndarray, names: Names) -> DataFrame:
     """Rows (token, key, n, pos) of prefixes, written: all whose shingle is in the prefixes of several classes, and few others."""
     spark = docs.sparkSession
     table = spark.sparkContext.broadcast(np.minimum(counts, 2**31 - 1).astype(np.int32))
+    common_at = common_from(counts)
 
     def run(batches):
         seen: set[int] = set()
@@ -260,7 +270,7 @@ def shared_entries(docs: DataFrame, counts: np.ndarray, names: Names) -> DataFra
                     keys.append(np.full(len(at), key))
                     end = min(511, int(8 * np.log2(own[-1] + 1)))  # how common the prefix's last shingle is, roughly
                     places.append((end << (SIZE_BITS + PLACE_BITS)) + (len(s) << PLACE_BITS) + at)
-                    common.append(own[at] >= COMMON)
+                    common.append(own[at] >= common_at)
             if tokens:
                 yield {"token": np.concatenate(tokens), "key": np.concatenate(keys), "place": np.concatenate(places), "common": np.concatenate(common)}
 
@@ -297,7 +307,7 @@ def shared_entries(docs: DataFrame, counts: np.ndarray, names: Names) -> DataFra
         dealt = entries.withColumn("salt", salt).repartition(n, "token", "salt").sortWithinPartitions("token", "key")
         rare = dealt.filter("salt < 0").select("token", "key", "place").mapInArrow(shared, narrow)
         common = dealt.filter("salt >= 0").select("token", "key", "place")
-        out = materialize(rare.unionByName(common) if (counts >= COMMON).any() else rare, "entries")
+        out = materialize(rare.unionByName(common) if (counts >= common_at).any() else rare, "entries")
     size = F.shiftright("place", PLACE_BITS).bitwiseAND((1 << SIZE_BITS) - 1)
     place = F.col("place").bitwiseAND((1 << PLACE_BITS) - 1)
     return out.select("token", "key", size.alias("n"), place.alias("pos"), F.shiftright("place", SIZE_BITS + PLACE_BITS).cast("int").alias("end"))
