@@ -6,7 +6,7 @@ from tidemill.plans import registry
 duckdb = pytest.importorskip("duckdb")
 DATA = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
-CHECKED = ["daily_ohlcv_summary", "clean_bars", "audit_counts", "grid_step_label", "next_session_asof", "vwap_crosses", "volume_profile", "grid_replay", "hostile_selloff_label", "threshold_search", "failure_windows", "failure_cohorts", "runtime_controls", "overnight_asof", "feature_table", "default_day_parts", "walk_forward_trained", "csv_scan", "daily_source"]
+CHECKED = ["daily_ohlcv_summary", "clean_bars", "audit_counts", "grid_step_label", "next_session_asof", "vwap_crosses", "volume_profile", "grid_replay", "hostile_selloff_label", "threshold_search", "failure_windows", "failure_cohorts", "runtime_controls", "overnight_asof", "feature_table", "default_day_parts", "walk_forward_trained", "csv_scan", "daily_source", "boosted_splits", "ranking_metrics", "downside_comparison", "describe_stats", "bucket_summary", "backfill_ranges", "backfill_state", "merge_partitions", "checked_rows", "rolling_split_series", "labels_of_many_bars", "streaming_replay", "walk_forward_line_metrics", "walk_forward_line_modes"]
 
 
 def plain(v):

@@ -15,6 +15,17 @@ from tidemill.sources import sinks as K
 from tidemill.sources import tables as S
 
 
+def test_daily_source_narrows_its_months_by_filters():
+    from pyspark.sql.datasource import EqualTo, GreaterThan, In, LessThanOrEqual
+
+    options = {"fetch": "x:y", "symbol": "s", "start": "2023-01-01", "end": "2024-12-31"}
+    reader = Y.PushedReader(options)
+    rest = list(reader.pushFilters([GreaterThan(("date",), date(2024, 1, 31)), LessThanOrEqual(("date",), date(2024, 3, 5)), EqualTo(("symbol",), "s"), In(("date",), (1,))]))
+    assert len(rest) == 1 and [(p.first, p.last) for p in reader.partitions()] == [(date(2024, 2, 1), date(2024, 2, 29)), (date(2024, 3, 1), date(2024, 3, 5))]
+    other = Y.PushedReader(options)
+    assert not list(other.pushFilters([EqualTo(("symbol",), "t")])) and other.partitions() == []
+
+
 def test_daily_source_fetches_by_month(spark):
     spark.dataSource.register(Y.Daily)
     read = spark.read.format("daily").options(fetch="tidemill.sources.daily:made_up", symbol="s", start="2024-01-30", end="2024-03-01")
@@ -97,3 +108,44 @@ def test_calibrate_then_fit_on_all(spark, monkeypatch):
     assert fits == [50, 60] and head.columns == ("x",) and 0.1 <= threshold <= 0.6
     scored = H.predict(head, df, "p")
     assert scored.filter("x >= 6").agg(F.min("p")).first()[0] > scored.filter("x < 6").agg(F.max("p")).first()[0]
+
+
+def test_a_merge_touches_only_its_partitions(spark, tmp_path):
+    path = str(tmp_path / "store")
+    kind = "code string, day int, x double, seq long, part string"
+    spark.createDataFrame([("a", 1, 1.0, 0, "p"), ("b", 1, 2.0, 0, "p"), ("a", 2, 3.0, 0, "q"), ("a", 3, 4.0, 0, None)], kind).write.partitionBy("part").parquet(path)
+    before = {f.name: f.parent.name for f in (tmp_path / "store").rglob("*.parquet")}
+    fresh = spark.createDataFrame([("a", 2, 9.0, 1, "q"), ("a", 2, 8.0, 2, "q"), ("c", 5, 7.0, 0, "r")], kind)
+    K.merge_table(fresh, path, ("code", "day", "part"), "part")
+    after = {f.name: f.parent.name for f in (tmp_path / "store").rglob("*.parquet")}
+    assert {n for n, p in before.items() if p != "part=q"} <= set(after) and not {n for n, p in before.items() if p == "part=q"} & set(after)
+    got = sorted((r.code, r.day, r.x) for r in spark.read.parquet(path).collect())
+    assert got == [("a", 1, 1.0), ("a", 2, 8.0), ("a", 3, 4.0), ("b", 1, 2.0), ("c", 5, 7.0)]
+    with pytest.raises(ValueError, match="column of the key"):
+        K.merge_table(fresh, path, ("code", "day"), "part")
+
+
+def test_rejects_by_reason(spark, tmp_path):
+    lines = ["2024-01-02,1.5,7", "2024-01-02,1.5", "2024-01-02,1.5,7,8", "x,1.5,7", "2024-01-03,,7", "2024-01-03,2.5,"]
+    path = tmp_path / "rows.csv"
+    path.write_text("\n".join(lines) + "\n", encoding="utf-8")
+    good, bad = S.read_checked(spark, str(path), "day date, price double, n long", ("price",))
+    assert sorted((r.price, r.n) for r in good.collect()) == [(1.5, 7), (2.5, None)]
+    got = {r.line: r.reason for r in bad.collect()}
+    assert got == {lines[1]: "fields", lines[2]: "fields", lines[3]: "value", lines[4]: "missing"}
+
+
+def test_a_hard_source_without_its_days_stops_the_run(spark):
+    from tidemill.operators import backfill as B
+
+    day = lambda n: date(2026, 1, n)
+    calendar = spark.createDataFrame([(day(n),) for n in (5, 6, 7, 8, 9, 12)], "date date")
+    stored = spark.createDataFrame([("soft", day(5), 9), ("soft", day(7), 1), ("soft", day(8), 9), ("soft", day(10), 9), ("whole", day(6), 9), ("whole", day(7), 9)], "source string, date date, n_bars long")
+    sources = spark.createDataFrame([("soft", day(1), day(31), False), ("whole", day(6), day(7), True), ("none", day(7), day(9), True)], "source string, since date, until date, is_hard boolean")
+    ranges = B.ranges_to_fetch(stored, sources, calendar, 5)
+    got = sorted(tuple(r)[:1] + tuple(r)[2:] for r in ranges.collect())
+    assert got == [("none", day(7), day(9), 3, 0), ("soft", day(6), day(7), 1, 1), ("soft", day(9), day(12), 2, 0)]
+    states = B.state(ranges, sources)
+    with pytest.raises(ValueError, match="none from 2026-01-07"):
+        B.require_complete(states)
+    assert B.require_complete(states.filter("source != 'none'")) == ["soft"]

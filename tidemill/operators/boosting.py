@@ -300,7 +300,11 @@ def fit(df: DataFrame, columns: tuple[str, ...], heads: list[Head], key: tuple[s
     cuts = edges(df, columns, c.bins, accuracy)
     path = work_path(spark, "binned")
     _binned(df, columns, cuts, heads, key).write.parquet(path)
-    table = spark.read.parquet(path)
+    # a level's shuffles carry histograms only, as many as heads, nodes and features: planned once, in few partitions
+    quick = spark.newSession()
+    quick.conf.set("spark.sql.adaptive.enabled", "false")
+    quick.conf.set("spark.sql.shuffle.partitions", str(min(int(spark.conf.get("spark.sql.shuffle.partitions")), max(1, len(heads) * len(columns) // 8))))
+    table = quick.read.parquet(path)
     recent: list[list[list[dict]]] = [[] for _ in heads]
     for tree in range(c.trees):
         features = _chosen_columns(columns, tree, c)
@@ -327,7 +331,7 @@ def fit(df: DataFrame, columns: tuple[str, ...], heads: list[Head], key: tuple[s
             new = work_path(spark, "binned")
             _moved(table, recent, len(columns)).write.parquet(new)
             remove(spark, path)
-            path, table, recent = new, spark.read.parquet(new), [[] for _ in heads]
+            path, table, recent = new, quick.read.parquet(new), [[] for _ in heads]
     remove(spark, path)
     return Model(columns, cuts, heads, c)
 

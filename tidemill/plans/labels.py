@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from ..operators import daily as D
 from ..operators import labels as L
 from ..operators.replay import Market
-from .common import BARS, days, hourly
+from .common import BARS, TICKS, days, hourly
+from .intraday import many_bars
 from .registry import add
 
 #: Ticks of the events table are few, so an order may take more than a bar's volume.
@@ -140,3 +143,30 @@ query("vwap_reversion_label", "vwap_reversion event_count success_count max_capt
 query("trend_break_label", "trend_break_risk trend_break_extreme trend_break_soft trend_soft_score hostile_context trend_direction open_close_return directional_efficiency path_efficiency opening_return opening_volume_ratio close_location", "open_close_return directional_efficiency path_efficiency opening_return opening_volume_ratio close_location")
 query("hostile_selloff_label", "hostile_selloff_risk selloff_extreme selloff_soft selloff_score negative_trend low_in_first_hour early_low_return late_low_return close_vs_anchor recovery below", "early_low_return late_low_return close_vs_anchor recovery below")
 add("labels_of_given_days", lambda s, d: table_of_days(s, d).select("code", "date", "next_date", "grid_pnl", "round_trips", "vwap_reversion", "trend_break_risk", "hostile_selloff_risk"), f"WITH {REPLAYED} SELECT code, date, next_date, grid_pnl, round_trips, vwap_reversion, trend_break_risk, hostile_selloff_risk FROM labels", "grid_pnl")
+#: Ticks of the events table in hundreds of shares, so that a fill of the published share of a bar is possible.
+_HUNDRED = 100
+
+
+def minute_table(s, d):
+    """Labels and replay as published: days of up to 240 bars, the default parts, five in a hundred of a bar's volume."""
+    return L.label_table(many_bars(s, d).withColumn("volume", F.col("volume") * _HUNDRED))
+
+
+def _minute_sql() -> str:
+    """The hourly labels' SQL over bars of six minutes, its places and the fill share replaced by the published ones."""
+    p, hour = L.LabelBars(), L.HOURLY
+    bars = f"""bars AS (SELECT 'all' AS code, date, date_trunc('hour', datetime) + to_minutes(CAST(floor(date_part('minute', datetime) / 6) * 6 AS BIGINT)) AS datetime, first(price ORDER BY datetime, seq) AS open,
+      max(price) AS high, min(price) AS low, last(price ORDER BY datetime, seq) AS close, sum(volume) * {_HUNDRED} AS volume FROM ticks WHERE price > 0 GROUP BY 1, 2, 3)"""
+    rest = REPLAYED[len("RECURSIVE ") + len(BARS):]
+    places = [
+        (f"1 FOLLOWING AND {hour.ahead} FOLLOWING", f"1 FOLLOWING AND {p.ahead} FOLLOWING"), (f"no = least({hour.opening}, n)", f"no = least({p.opening}, n)"), (f"(no <= {hour.opening})", f"(no <= {p.opening})"),
+        (f"(no <= {hour.late})", f"(no <= {p.late})"), (f"(no <= {hour.early})", f"(no <= {p.early})"),
+        (f"low_index < least({hour.late}, n)", f"low_index < least({p.late}, n)"), (f"volume * {REPLAY.share_of_bar}::DOUBLE", f"volume * {Market().share_of_bar}::DOUBLE"),
+    ]
+    for old, new in places:
+        rest = rest.replace(old, new)
+    return f"RECURSIVE {TICKS}, {bars}{rest}"
+
+
+_PUBLISHED = f"{_TARGETS} grid_pnl round_trips long_entries short_entries ambiguous_entries skipped_touches filled_shares forced_close positive_grid_day tradable vwap_reversion event_count success_count side_ratio trend_break_risk trend_soft_score opening_volume_ratio hostile_selloff_risk selloff_score early_low_return late_low_return recovery"
+add("labels_of_many_bars", lambda s, d: minute_table(s, d).select("code", "date", "next_date", *_PUBLISHED.split()), f"WITH {_minute_sql()} SELECT code, date, next_date, {', '.join(_PUBLISHED.split())} FROM labels", f"{_TARGETS} grid_pnl side_ratio opening_volume_ratio early_low_return late_low_return recovery")

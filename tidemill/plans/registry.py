@@ -31,4 +31,4 @@ def add(name: str, fn: Callable[[SparkSession, str], DataFrame], sql: str | None
         ORACLES[name] = f"SELECT *{rounded} FROM ({sql}) AS q"
 
 
-from . import boosting, decision, evaluation, extension, foundation, intraday, labels, sources, training  # noqa: E402, F401
+from . import boosting, decision, evaluation, extension, foundation, intraday, labels, sources, training, upkeep  # noqa: E402, F401

@@ -133,16 +133,27 @@ def chunks(s, d):
 add("chunked_union", chunks, f"WITH {SERIES} SELECT code, date, close + date_part('year', date) AS close FROM series WHERE date BETWEEN DATE '1992-01-01' AND DATE '1998-12-31' UNION ALL SELECT code, date, close + 1998 FROM series WHERE date BETWEEN DATE '1999-01-01' AND DATE '1999-01-31'", "close")
 
 
+_PUSHED = "spark.sql.python.filterPushdown.enabled"
+
+
 def daily_source(s, d):
-    s.dataSource.register(Y.Daily)
-    return s.read.format("daily").options(fetch="tidemill.sources.daily:made_up", symbol="000001", start="2024-01-15", end="2024-06-10").load()
+    """One code's series out of a store by month, through the pluggable source: the filter's months are fetched, no others."""
+    path = K.work_path(s, "months")
+    K.write_table(series(s, d).withColumn("month", F.date_format("date", "yyyy-MM")), path, ("month",))
+    s.dataSource.register(Y.DailyPushed)
+    before = s.conf.get(_PUSHED, "false")
+    s.conf.set(_PUSHED, "true")
+    try:
+        read = s.read.format("daily_pushed").options(fetch="tidemill.sources.daily:stored_month", source=path, symbol="1-URGENT", start="1992-01-01", end="1999-12-31").load()
+        return K.stored(read.filter("date >= DATE '1994-02-10' AND date < DATE '1995-07-20'"), "fetched")
+    finally:
+        s.conf.set(_PUSHED, before)
 
 
 add(
     "daily_source",
     daily_source,
-    """WITH d AS (SELECT CAST(unnest(generate_series(DATE '2024-01-15', DATE '2024-06-10', INTERVAL 1 DAY)) AS DATE) AS date), n AS (SELECT date, date - DATE '0001-01-01' + 1 AS n FROM d WHERE isodow(date) < 6)
-      SELECT '000001' AS symbol, date, 100.0 + n % 37 AS open, 101.0 + n % 37 AS high, 99.0 + n % 37 AS low, 100.5 + n % 37 AS close, n % 11 * 100.0 AS volume, (100.5 + n % 37) * (n % 11 * 100.0) AS amount FROM n""",
+    f"WITH {SERIES} SELECT code AS symbol, date, open, high, low, close, volume, amount FROM series WHERE code = '1-URGENT' AND date >= DATE '1994-02-10' AND date < DATE '1995-07-20'",
     _OHLC,
 )
 _NIGHT = "overnight_first_return overnight_second_return overnight_mean_return overnight_relative_strength_spread"

@@ -14,7 +14,7 @@ from ..operators import linear as N
 from ..operators import segments as G
 from ..operators.evaluate import HEADS
 from ..sources import sinks as K
-from .evaluation import WF, _counts, _rates, scored
+from .evaluation import _FULL, _MODE_SQL, _RATE_COLUMNS, AP, DECIDED, WF, _counts, _rates, scored
 from .evaluation import SCORED as _SCORED
 from .registry import add
 
@@ -74,6 +74,35 @@ add("walk_forward_head_metrics", lambda s, d: N.head_metrics(trained(s, d, FEATU
 add("walk_forward_mode_summary", lambda s, d: G.summary(C.controls(trained(s, d, FEATURES, N.Linear())), G.mode_segments(), "code", "window_id", full=False))
 
 
+def _line_metrics() -> str:
+    """Metrics of every head of every window, from TRAINED."""
+    parts, none = [], "CAST(NULL AS DOUBLE)"
+    for h in REGRESSION:
+        rank = lambda c: f"rank() OVER (PARTITION BY code, window_id ORDER BY {c}) + (count(*) OVER (PARTITION BY code, window_id, {c}) - 1) / 2.0"
+        y, p = f"target_{h}", f"pred_{h}"
+        parts.append(f"""SELECT code, window_id, '{h}' AS head, avg(abs(p - y)) AS mae, sqrt(avg((p - y) ** 2)) AS rmse, corr(ry, rp) AS spearman, {', '.join(f'{none} AS {c}' for c in ('threshold', 'precision', 'recall', 'f_beta', 'average_precision'))}
+          FROM (SELECT code, window_id, {y} AS y, {p} AS p, {rank(y)} AS ry, {rank(p)} AS rp FROM trained) GROUP BY ALL""")
+    for h, rule in HEADS.items():
+        counts = _counts(f"target_{h}", f"pred_{h}", f"threshold_{h}")
+        parts.append(f"""SELECT c.code, c.window_id, '{h}' AS head, {none} AS mae, {none} AS rmse, {none} AS spearman, threshold, precision, recall, f_beta, coalesce(average_precision, 0) AS average_precision
+          FROM (SELECT *, {_rates(rule.beta)} FROM (SELECT code, window_id, any_value(threshold_{h}) AS threshold, {counts} FROM trained GROUP BY code, window_id)) c
+          JOIN ({AP.format(k='code, window_id', p=f'pred_{h}', y=f'target_{h}', t='trained')}) a ON a.code = c.code AND a.window_id = c.window_id""")
+    return " UNION ALL ".join(parts)
+
+
+def _line_modes() -> str:
+    """Decisions of the trained rows, by window and segment."""
+    decided = DECIDED[len(_SCORED):].replace("FROM scored)", "FROM trained)")
+    names = ["pnl_mean", "pnl_p10", "pnl_worst", *_RATE_COLUMNS.split()]
+    rows = " UNION ALL ".join(f"SELECT code, window_id, '{k}' AS segment, {_FULL} FROM decided WHERE {c} GROUP BY code, window_id" for k, c in _MODE_SQL.items())
+    keys = f"SELECT code, window_id, count(*) AS total, unnest([{', '.join(repr(k) for k in _MODE_SQL)}]) AS segment FROM decided GROUP BY code, window_id"
+    return f"WITH {TRAINED}{decided} SELECT k.code, k.window_id, k.segment, coalesce(r.n, 0) AS n, {', '.join(f'coalesce(r.{c}, 0) AS {c}' for c in names)}, coalesce(r.n, 0) / k.total AS share FROM ({keys}) k LEFT JOIN ({rows}) r USING (code, window_id, segment)"
+
+
+add("walk_forward_line_metrics", lambda s, d: N.head_metrics(trained(s, d), REGRESSION, HEADS, ("code",)).select("code", "window_id", "head", *_METRICS.split()), f"WITH {TRAINED} {_line_metrics()}", _METRICS)
+add("walk_forward_line_modes", lambda s, d: G.summary(C.controls(trained(s, d)), G.mode_segments(), "code", "window_id", full=False), _line_modes(), "pnl_mean pnl_p10 pnl_worst share " + _RATE_COLUMNS)
+
+
 def latest_signal(s, d):
     """Each code's last row, scored by heads of all rows before it, decided and written as a record."""
     df = rows(s, d)

@@ -10,6 +10,7 @@ import uuid
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def work_path(spark: SparkSession, label: str) -> str:
@@ -26,6 +27,25 @@ def write_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) ->
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 
+def merge_table(fresh: DataFrame, path: str, key: tuple[str, ...], partition: str, seq: str = "seq") -> None:
+    """Fresh rows into a table that is stored by partition: of a key the fresh row stays, of several the one with the largest seq.
+
+    Only partitions that fresh rows hold are read, merged and replaced; files of others keep their names. The partition is a
+    column of the key, so no row moves from one to another. Merged rows are written aside first, and then take their places.
+    """
+    if partition not in key:
+        raise ValueError(f"{partition} must be a column of the key")
+    spark = fresh.sparkSession
+    fresh = stored(fresh, "fresh")
+    touched = fresh.select(partition).distinct()
+    old = spark.read.schema(fresh.schema).parquet(path)
+    old = old.join(touched, partition, "left_semi")  # prunes the scan to these partitions where they are few enough to be broadcast
+    both = old.withColumn("_round", F.lit(0)).unionByName(fresh.withColumn("_round", F.lit(1)))
+    best = F.max_by(F.struct(*(c for c in fresh.columns if c not in key)), F.struct("_round", seq))
+    merged = stored(both.groupBy(*key).agg(best.alias("_r")).select(*key, "_r.*"), "merged")
+    merged.select(*fresh.columns).repartition(partition).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """df written to a new path of the shared folder and read back: for frames that several branches of a plan read. It stays until its owner clears the folder."""
     path = work_path(df.sparkSession, label)

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
 from ..functions.scalar import number
+from .sinks import work_path
 
 #: Fixed values (P1, P2): headers that input files have for the same column.
 ALIASES = {
@@ -66,6 +67,28 @@ def read_csv_or_empty(spark: SparkSession, path: str, columns: tuple[str, ...])
         return empty
 
 
+def read_checked(spark: SparkSession, path: str, schema: str, required: tuple[str, ...] = (), separator: str = ",") -> tuple[DataFrame, DataFrame]:
+    """(good rows, rejects) of delimited text without a header, from one scan of it.
+
+    Rejects are (line, reason): 'fields' where their number is wrong, 'value' where one does not parse, 'missing' where a required one
+    is empty. Both are written to the shared folder in that scan, so that reading either reads only its rows.
+    """
+    names = [f.name for f in T.StructType.fromDDL(schema)]
+    read = spark.read.schema(f"{schema}, _line string").option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_line").option("sep", separator)
+    rows = read.csv(path)
+    fields = F.size(F.split(F.col("_line"), f"[{separator}]", -1))
+    empty = F.lit(False)
+    for c in required:
+        empty = empty | F.col(c).isNull()
+    reason = F.when(F.col("_line").isNotNull() & (fields != len(names)), "fields").when(F.col("_line").isNotNull(), "value").when(empty, "missing").otherwise("")
+    line = F.coalesce("_line", F.concat_ws(separator, *(F.coalesce(F.col(c).cast("string"), F.lit("")) for c in names)))
+    both = rows.withColumn("_reason", reason).withColumn("_line", F.when(F.col("_reason") != "", line)).withColumn("_ok", F.col("_reason") == "")
+    out = work_path(spark, "checked")
+    both.write.partitionBy("_ok").parquet(out)
+    table = spark.read.schema(f"{schema}, _line string, _reason string, _ok boolean").parquet(out)
+    return table.filter("_ok").select(*names), table.filter("NOT _ok").select(F.col("_line").alias("line"), F.col("_reason").alias("reason"))
+
+
 def typed_bars(df: DataFrame) -> DataFrame:
     """Text columns to the types of bars: timestamps and doubles, missing where they do not parse; optional columns added."""
     require(df, "datetime", "open", "high", "low", "close", "volume", "amount")
