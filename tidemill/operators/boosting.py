@@ -2,9 +2,8 @@
 
 Features are cut into bins at quantiles, once, and the binned rows are written.  A level is
 one job: every task adds up gradients and hessians of its rows by (head, node, feature, bin);
-histograms are merged by (head, node, feature) as a stream, each gives its best split, and
-the best of a node comes back, a row for each head and node.  Neither rows nor histograms
-come to the driver.  Children's sums are known from the split, so leaves need no job.
+histograms are merged by (head, node, feature) as a stream, and each gives its best split, which is all that comes
+to the driver.  Children's sums are known from the split, so leaves need no job.
 
 A split's gain is that of Newton steps with an L2 penalty, under a least hessian for each
 child and, where set, a largest step.  Missing values have a bin of their own and go to the
@@ -23,7 +22,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
-from dataclasses import asdict, dataclass, field
+from dataclasses import asdict, dataclass, field, replace
 
 import numpy as np
 import pandas as pd
@@ -35,6 +34,8 @@ from ..sources.sinks import remove, work_path
 from .ranks import value_ranks
 
 MISSING = 255
+#: Rows of a task at least: a level's tasks should not be shorter than their start.
+TASK_ROWS = 100_000
 #: Whole units in a head's spread.  A task's sums stay exact up to 2^53 units.
 UNITS = float(1 << 24)
 HIST = "head int, node int, feature int, hist binary"
@@ -258,7 +259,7 @@ def best_split(hist: np.ndarray, c: Boost, head: Head) -> tuple | None:
 
 
 def _best(hists: DataFrame, heads: list[Head], c: Boost) -> DataFrame:
-    """The best split of each head and node. Histograms of a feature are added up as they come in."""
+    """The best split of each head, node and feature. Histograms of a feature are added up as they come in."""
 
     def run(batches: Iterator[pa.RecordBatch]):
         key, total = None, None
@@ -288,8 +289,7 @@ def _best(hists: DataFrame, heads: list[Head], c: Boost) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names)
 
     placed = hists.repartition("head", "node", "feature").sortWithinPartitions("head", "node", "feature")
-    rank = F.struct(F.round("gain", 9), -F.col("feature"))
-    return placed.mapInArrow(run, BEST).groupBy("head", "node").agg(F.max_by(F.struct("feature", "bin", "missing_left", "gain", "left_g", "left_h", "right_g", "right_h", "n"), rank).alias("s")).select("head", "node", "s.*")
+    return placed.mapInArrow(run, BEST)
 
 
 def fit(df: DataFrame, columns: tuple[str, ...], heads: list[Head], key: tuple[str, ...], c: Boost = Boost(), accuracy: int | None = None) -> Model:
@@ -299,12 +299,14 @@ def fit(df: DataFrame, columns: tuple[str, ...], heads: list[Head], key: tuple[s
     spark = df.sparkSession
     cuts = edges(df, columns, c.bins, accuracy)
     path = work_path(spark, "binned")
-    _binned(df, columns, cuts, heads, key).write.parquet(path)
+    binned = _binned(df, columns, cuts, heads, key)
+    binned.coalesce(-(-df.count() // TASK_ROWS) or 1).write.parquet(path)
     # a level's shuffles carry histograms only, as many as heads, nodes and features: planned once, in few partitions
     quick = spark.newSession()
     quick.conf.set("spark.sql.adaptive.enabled", "false")
     quick.conf.set("spark.sql.shuffle.partitions", str(min(int(spark.conf.get("spark.sql.shuffle.partitions")), max(1, len(heads) * len(columns) // 8))))
     table = quick.read.parquet(path)
+    bare = [replace(h, trees=[]) for h in heads]  # what tasks need; of the trees they get the recent ones
     recent: list[list[list[dict]]] = [[] for _ in heads]
     for tree in range(c.trees):
         features = _chosen_columns(columns, tree, c)
@@ -313,9 +315,12 @@ def fit(df: DataFrame, columns: tuple[str, ...], heads: list[Head], key: tuple[s
         for level in range(c.depth):
             if not any(open_):
                 break
-            found = _best(_histograms(table, heads, recent, growing, open_, features, len(columns), tree, c), heads, c).collect()  # a row for each head and open node
+            found = _best(_histograms(table, bare, recent, growing, open_, features, len(columns), tree, c), bare, c).collect()  # a row for each head, open node and feature
             open_ = [[] for _ in heads]
-            for r in sorted(found, key=lambda r: (r["head"], r["node"])):
+            best: dict[tuple[int, int], object] = {}
+            for r in sorted(found, key=lambda r: (-round(r["gain"], 9), r["feature"])):
+                best.setdefault((r["head"], r["node"]), r)
+            for _, r in sorted(best.items()):
                 k, nodes, head = r["head"], growing[r["head"]], heads[r["head"]]
                 largest = c.largest_step if head.kind == "classification" else 0.0
                 left, right = len(nodes), len(nodes) + 1
