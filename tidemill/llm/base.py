@@ -17,6 +17,9 @@ from pyspark.sql import functions as F
 #: Pattern of a word in the contracts: a run of characters other than ASCII white space.
 WORD = "[^\\x20\\x09-\\x0D]+"
 
+#: DuckDB SQL: crc32 of a text of ASCII characters, bit by bit. {} is the text.
+CRC32_SQL = "xor(list_reduce([4294967295] || list_transform(string_split({}, ''), lambda x: CAST(ascii(x) AS BIGINT)), lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, i: xor(x // 2, 3988292384 * (x % 2)))), 4294967295)"
+
 _OWN_DIR: list[str] = []
 _LOCAL = threading.local()
 

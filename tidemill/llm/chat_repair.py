@@ -33,7 +33,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .base import arrow_map, materialize, read_table, scratch
+from .base import CRC32_SQL, arrow_map, materialize, read_table, scratch
 
 KEEP, REROLE, DELETE, INSERT, CUT = 0, 1, 2, 5, 5
 #: The pattern (s?(ua)+)? as state -> letter -> state; accepted: 0 and 3.
@@ -367,3 +367,55 @@ def repair(convs: DataFrame) -> DataFrame:
 
 def op11_chat_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair(read_table(spark, sf_dir, "conversations"))
+
+
+def _sql() -> str:
+    """The repair row by row from the end, without paths: of each state the least text of cost, letters and repaired lines."""
+    blank = "\\x20\\x09-\\x0D"
+    lines = lambda v: f"substr({v}, strpos({v}, chr(1)) + 1)"
+
+    def before(v: str, cost: str, letter: str, line: str | None) -> str:
+        own = "" if line is None else f" || {line} || chr(10)"
+        return f"lpad(CAST(CAST(substr({v}, 1, 9) AS BIGINT) + {cost} AS VARCHAR), 9, '0') || '{letter}' || substr({v}, 10, strpos({v}, chr(1)) - 10) || chr(1){own} || {lines(v)}"
+
+    cut = f"(CASE WHEN fault = 'truncated' THEN {CUT} ELSE 0 END)"
+    layer = []
+    for g in range(4):
+        to, role = NEW_TURN[g]
+        ways = [before(f"v{g}", str(DELETE), "D", None), f"CASE WHEN live THEN {before(f'v{to}', f'{REROLE} + {cut}', 'R', f"'{role}:' || text")} END"]
+        ways += [f"CASE WHEN live AND left(role, 1) = '{c}' THEN {before(f'v{t}', cut, 'K', "role || ':' || text")} END" for c, t in STEPS[g].items()]
+        layer.append(f"least({', '.join(ways)}) AS b{g}")
+    insert = lambda g, v: before(v, str(INSERT), "I", f"'{NEW_TURN[g][1]}:'")
+    closed = f"SELECT c, i, b1, b0, least(b2, {insert(2, 'b3')}) AS v2, least(b3, {insert(3, 'b2')}) AS v3"
+    start = "'000000000' || chr(1)"
+    return f"""
+WITH RECURSIVE keyed AS (
+  SELECT conv_id AS c, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         {CRC32_SQL.format("coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')")} % 20 AS kind FROM conversations),
+hit AS (
+  SELECT c, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(CASE WHEN kind = 3 THEN [0, 1] ELSE [0] END) AS copy FROM keyed WHERE kind <> 0),
+numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, sha256(strlen(role) || ':' || role || text), copy) AS no FROM hit),
+faults AS (
+  SELECT *, CASE WHEN NOT regexp_matches(text, '[^{blank}]') THEN 'blank' WHEN row_number() OVER (PARTITION BY c, role, text ORDER BY no) > 1 THEN 'duplicate'
+         WHEN regexp_extract(text, '([^{blank}])[{blank}]*$', 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault FROM numbered),
+rows_ AS (SELECT *, fault NOT IN ('blank', 'duplicate') AS live, left(lag(role) OVER (PARTITION BY c ORDER BY no), 1) || left(role, 1) AS pair FROM faults),
+counts AS (
+  SELECT c, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+         count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal, max(no) AS n FROM rows_ GROUP BY c),
+walk AS (
+  SELECT c, n AS i, {start} AS v0, {before(before("('000000000' || chr(1))", "5", "I", "'assistant:'"), "5", "I", "'user:'")} AS v1, {before("('000000000' || chr(1))", "5", "I", "'assistant:'")} AS v2, {start} AS v3 FROM counts
+  UNION ALL
+  SELECT c, i, least(b0, {insert(0, 'v2')}), least(b1, {insert(1, 'v2')}), v2, v3 FROM (
+    {closed} FROM (SELECT w.c, w.i - 1 AS i, {', '.join(layer)} FROM walk w JOIN rows_ r ON r.c IS NOT DISTINCT FROM w.c AND r.no = w.i))),
+ended AS (SELECT c, v0 AS v FROM walk WHERE i = 0)
+SELECT q.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+       coalesce(CAST(substr(v, 1, 9) AS BIGINT), 0) AS cost, coalesce(substr(v, 10, strpos(v, chr(1)) - 10), '') AS audit,
+       sha256(coalesce(left({lines('v')}, greatest(length({lines('v')}) - 1, 0)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) q LEFT JOIN counts ON counts.c IS NOT DISTINCT FROM q.conv_id LEFT JOIN ended ON ended.c IS NOT DISTINCT FROM q.conv_id
+"""
+
+
+SQL = _sql()

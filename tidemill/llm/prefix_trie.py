@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.ranks import numbered
-from .base import arrow_map, materialize, read_table, scratch
+from .base import CRC32_SQL, arrow_map, materialize, read_table, scratch
 
 SPAN = 100
 HEAD_TURNS = 6
@@ -205,3 +205,33 @@ def prefix_trie(convs: DataFrame) -> DataFrame:
 
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie(read_table(spark, sf_dir, "conversations"))
+
+
+SQL = f"""
+WITH own AS (
+  SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) - 1 AS pos
+  FROM conversations),
+ids AS (SELECT c, count(*) AS own_n, c - c % {SPAN} AS base, {CRC32_SQL.format('CAST(c AS VARCHAR)')} % {HEAD_TURNS} AS h FROM own GROUP BY c),
+kept AS (SELECT i.*, least(h, coalesce(b.own_n, 0)) AS k FROM ids i LEFT JOIN (SELECT c AS base, own_n FROM ids) b USING (base)),
+rebuilt AS (
+  SELECT kept.c, o.pos, o.role, o.text FROM kept JOIN own o ON o.c = kept.base AND o.pos < kept.k
+  UNION ALL
+  SELECT kept.c, o.pos - kept.h + kept.k, o.role, o.text FROM kept JOIN own o ON o.c = kept.c AND o.pos >= kept.h),
+turns AS (SELECT c, pos + 1 AS d, strlen(role) || ':' || role || strlen(text) || ':' || text AS turn, text, count(*) OVER (PARTITION BY c) AS n FROM rebuilt),
+paths AS (
+  SELECT c, d, list(sha256(turn)) OVER (PARTITION BY c ORDER BY d) AS key, length(text) AS chars, d = n AS ends FROM turns
+  UNION ALL
+  SELECT c, 0, [], 0, NOT EXISTS (SELECT 1 FROM rebuilt r WHERE r.c = kept.c) FROM kept),
+nodes AS (
+  SELECT d, key, min(c) AS conv_id, count(*) AS n_convs, max(chars) AS chars,
+         sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (ends), '')) AS ends_sha256
+  FROM paths GROUP BY d, key),
+family AS (
+  SELECT n.*, up.conv_id AS parent_conv_id, (SELECT count(*) FROM nodes x WHERE x.d = n.d + 1 AND list_slice(x.key, 1, n.d) = n.key) AS n_children
+  FROM nodes n LEFT JOIN nodes up ON up.d = n.d - 1 AND up.key = list_slice(n.key, 1, n.d - 1))
+SELECT a.conv_id, CAST(a.d AS BIGINT) AS depth, a.parent_conv_id, a.n_convs, a.n_children,
+       count(*) FILTER (b.n_children = 0) AS n_leaves, CAST(sum((b.n_convs - 1) * b.chars) AS BIGINT) AS saved_tokens, a.ends_sha256
+FROM family a JOIN family b ON b.d >= a.d AND list_slice(b.key, 1, a.d) = a.key
+GROUP BY a.conv_id, a.d, a.parent_conv_id, a.n_convs, a.n_children, a.ends_sha256, a.key
+"""

@@ -20,4 +20,6 @@ QUERIES = {
 ORACLES = {
     "op6_exact_dedup": exact_dedup.SQL,
     "op8_source_mix": source_mix.SQL,
+    "op11_chat_repair": chat_repair.SQL,
+    "op13_prefix_trie": prefix_trie.SQL,
 }
