@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemill.llm import bpe_chunks, exact_dedup, ngram_join, quality_qda, source_mix
-from tidemill.llm.base import materialize, read_table
+from tidemill.llm.base import materialize, read_table, scratch
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,7 +54,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage's rows, which stay; the tables of the other stages are deleted at the end."""
     docs = read_table(spark, sf_dir, "documents")
-    for k, (_, stage) in enumerate(STAGES):
-        docs = materialize(stage(spark, docs, sf_dir), f"stage_{k}")
+    with scratch(spark):
+        for k, (_, stage) in enumerate(STAGES):
+            docs = materialize(stage(spark, docs, sf_dir), f"stage_{k}", keep=k == len(STAGES) - 1)
     return docs

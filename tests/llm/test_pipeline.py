@@ -94,3 +94,11 @@ def test_nulls_and_repeated_rows(spark, stages, tmp_path):
     good, exact, near, mixed, ids = rows[1:]
     assert 60 < good <= 123 and exact <= 62 and good / 2 - 2 <= exact  # of repeated rows one stays
     assert 0 < near <= exact and 0 < ids == mixed
+
+
+def test_a_null_id_passes_the_stages_that_keep_it(spark, stages):
+    few = spark.createDataFrame([(None, "one two three four five six seven", "en", "s", 33), (5, "eight nine ten eleven twelve more words", "en", "s", 39)], stages[0].schema)
+    for stage in (corpus_pipeline.exact_copies, corpus_pipeline.near_copies, corpus_pipeline.mixture):
+        got = stage(spark, few, SMALL).collect()
+        assert sum(r.doc_id is None for r in got) >= 1 and sum(r.doc_id == 5 for r in got) >= 1
+    assert sum(r.doc_id is None for r in corpus_pipeline.token_ids(spark, few, SMALL).collect()) == 1

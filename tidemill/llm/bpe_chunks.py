@@ -180,7 +180,7 @@ def _encode_long(rows: DataFrame, ranks_path: str, pattern: str, chunk_chars: in
 
     chunks = arrow_map(rows, split, "uid long, doc_id long, no int, start long, core long, end long, head_to long, last boolean, text string")
     # chunks are dealt out once and written; only boundaries go through the window that stitches, and come back to their chunks
-    dealt = materialize(chunks.repartition("uid", "no"), "chunks", keep=True)
+    dealt = materialize(chunks.repartition("uid", "no"), "chunks")
     marked = arrow_map(dealt, pretokenise, "uid long, no int, end long, head array<long>, tail array<long>")
     by_text = Window.partitionBy("uid").orderBy("no")
     common = F.array_min(F.array_intersect(F.lag("tail").over(by_text), F.col("head")))
