@@ -258,8 +258,8 @@ def best_split(hist: np.ndarray, c: Boost, head: Head) -> tuple | None:
     return best
 
 
-def _best(hists: DataFrame, heads: list[Head], c: Boost) -> DataFrame:
-    """The best split of each head, node and feature. Histograms of a feature are added up as they come in."""
+def _best(hists: DataFrame, heads: list[Head], c: Boost, tasks: int) -> DataFrame:
+    """The best split of each head, node and feature. Histograms of a feature are added up as they come in; those of one task are whole."""
 
     def run(batches: Iterator[pa.RecordBatch]):
         key, total = None, None
@@ -288,8 +288,9 @@ def _best(hists: DataFrame, heads: list[Head], c: Boost) -> DataFrame:
     def _record(rows):
         return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names)
 
-    placed = hists.repartition("head", "node", "feature").sortWithinPartitions("head", "node", "feature")
-    return placed.mapInArrow(run, BEST)
+    if tasks > 1:
+        hists = hists.repartition("head", "node", "feature").sortWithinPartitions("head", "node", "feature")
+    return hists.mapInArrow(run, BEST)
 
 
 def fit(df: DataFrame, columns: tuple[str, ...], heads: list[Head], key: tuple[str, ...], c: Boost = Boost(), accuracy: int | None = None) -> Model:
@@ -306,6 +307,7 @@ def fit(df: DataFrame, columns: tuple[str, ...], heads: list[Head], key: tuple[s
     quick.conf.set("spark.sql.adaptive.enabled", "false")
     quick.conf.set("spark.sql.shuffle.partitions", str(min(int(spark.conf.get("spark.sql.shuffle.partitions")), max(1, len(heads) * len(columns) // 8))))
     table = quick.read.parquet(path)
+    tasks = table.rdd.getNumPartitions()
     bare = [replace(h, trees=[]) for h in heads]  # what tasks need; of the trees they get the recent ones
     recent: list[list[list[dict]]] = [[] for _ in heads]
     for tree in range(c.trees):
@@ -315,7 +317,7 @@ def fit(df: DataFrame, columns: tuple[str, ...], heads: list[Head], key: tuple[s
         for level in range(c.depth):
             if not any(open_):
                 break
-            found = _best(_histograms(table, bare, recent, growing, open_, features, len(columns), tree, c), bare, c).collect()  # a row for each head, open node and feature
+            found = _best(_histograms(table, bare, recent, growing, open_, features, len(columns), tree, c), bare, c, tasks).collect()  # a row for each head, open node and feature
             open_ = [[] for _ in heads]
             best: dict[tuple[int, int], object] = {}
             for r in sorted(found, key=lambda r: (-round(r["gain"], 9), r["feature"])):
@@ -337,6 +339,7 @@ def fit(df: DataFrame, columns: tuple[str, ...], heads: list[Head], key: tuple[s
             _moved(table, recent, len(columns)).write.parquet(new)
             remove(spark, path)
             path, table, recent = new, quick.read.parquet(new), [[] for _ in heads]
+            tasks = table.rdd.getNumPartitions()
     remove(spark, path)
     return Model(columns, cuts, heads, c)
 
