@@ -56,9 +56,8 @@ def exact_quantiles(df: DataFrame, value: str, at: dict[str, float], key: tuple[
     brackets = stored(brackets.withColumns({"_lo": F.when(F.col("_q") > margin, F.col("_lo")), "_hi": F.when(F.col("_q") < 1 - margin, F.col("_hi"))}), "brackets")
     found = _within(df, brackets, key)
     missed = brackets.join(found.select(*key, "_name"), [*key, "_name"], "left_anti").withColumns({"_lo": F.lit(None).cast("double"), "_hi": F.lit(None).cast("double")})
-    missed = stored(missed, "missed")
     if not missed.isEmpty():
-        found = found.unionByName(_within(df, missed, key))
+        found = found.unionByName(_within(df, stored(missed, "missed"), key))
     return found.groupBy(*key).agg(*(F.max(F.when(F.col("_name") == name, F.col("_value"))).alias(name) for name in at))
 
 
