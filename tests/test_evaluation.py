@@ -120,14 +120,37 @@ def test_split_and_columns(spark, tmp_path):
 
 
 def test_tree_queries_fit_all_heads_in_full(spark, monkeypatch):
+    from tidemill.plans import registry
+
+    asked = []
+
+    def short(fit):
+        def run(df, columns, target, c=H.TreeConfig()):
+            asked.append((target, c))
+            return fit(df, columns, target, H.TreeConfig(trees=1))
+
+        return run
+
+    monkeypatch.setattr(H, "fit_regressor", short(H.fit_regressor))
+    monkeypatch.setattr(H, "fit_classifier", short(H.fit_classifier))
+    heads = {"upside", "downside", "grid_pnl", *HEADS}
+    got = registry.QUERIES["head_importance"](spark, "/root/testdata/sf0.001")
+    assert {r["head"] for r in got.collect()} == heads
+    assert {t for t, _ in asked} == {f"target_{h}" for h in heads} and len(asked) == len(heads)
+    scores = registry.QUERIES["gbt_scores"](spark, "/root/testdata/sf0.001")
+    assert set(scores.columns) == {"code", "date", *(f"tree_{h}" for h in heads)} and scores.filter("tree_tradable BETWEEN 0 AND 1").count() == scores.count() > 0
+    assert all(c == H.TreeConfig() and c.trees == 300 for _, c in asked)
+
+
+def test_second_order_queries_cover_all_heads(spark, monkeypatch):
     from tidemill.operators import boosting as B
     from tidemill.plans import extension, registry
 
     c = extension.SETTINGS
-    assert (c.trees, c.depth, c.rate, c.sample, c.columns, c.seed, c.largest_step) == (300, 4, 0.05, 0.9, 0.9, 42, 1.0)
+    assert (c.depth, c.rate, c.sample, c.columns, c.seed, c.largest_step) == (4, 0.05, 0.9, 0.9, 42, 1.0) and B.Boost().trees == 300
     monkeypatch.setattr(extension, "SETTINGS", B.Boost(trees=2))
     heads = {"upside", "downside", "grid_pnl", *HEADS}
-    got = registry.QUERIES["head_importance"](spark, "/root/testdata/sf0.001")
+    got = registry.QUERIES["boosted_importance"](spark, "/root/testdata/sf0.001")
     assert {r["head"] for r in got.collect()} == heads
-    scores = registry.QUERIES["gbt_scores"](spark, "/root/testdata/sf0.001")
+    scores = registry.QUERIES["boosted_scores"](spark, "/root/testdata/sf0.001")
     assert set(scores.columns) == {"code", "date", *(f"tree_{h}" for h in heads)} and scores.filter("tree_tradable BETWEEN 0 AND 1").count() == scores.count() > 0
