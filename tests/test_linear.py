@@ -82,6 +82,32 @@ def test_against_numpy(spark, data, ridge):
     assert {(r.code, r.window_id, r["head"]) for r in metrics} == {(c, r.window_id, h) for (c, _), r in got.items() for h in ("up", *RULES)}
 
 
+def test_slopes_of_zero_are_zero_after_many_rows(spark):
+    """Both classes have every feature value equally often, so all scores are the classes' share: ties, and equal to a threshold of the grid."""
+    far = [("a", i, 0.008 + (i * 7 % 27) / 1000, i * 11 % 5 // 4) for i in range(5000)]
+    even = [("a", 5000 + i, 0.008 + (i // 4 % 25) / 1000, int(i % 4 == 3)) for i in range(400)]
+    df = spark.createDataFrame(far + even, "code string, row_idx long, x double, target_risk int")
+    windows = spark.createDataFrame([("a", 5000, 5400)], "code string, begin long, end long")
+    w = N.fit(df, windows, ("x",), ("target_risk",), ("code",), "begin", "end", "w", 0.0).first().w
+    assert w == [[0.25, 0.0]]
+    still = df.withColumn("x", F.lit(0.3))
+    assert N.fit(still, windows, ("x",), ("target_risk",), ("code",), "begin", "end", "w", 0.0).first().w == [[0.25, 0.0]]
+
+
+def test_scores_that_equal_a_threshold_reach_it(spark):
+    below = 0.1 + 0.7 - 0.35
+    assert below < 0.45
+    assert spark.range(1).select(N._chance(F.lit(below)).alias("p")).first().p == 0.45
+
+
+@pytest.mark.parametrize("beta", [1.5, 2.5, 3.0])
+def test_f_beta_has_the_bits_of_the_sql(spark, beta):
+    rows = [(a / b, a / c) for a in range(1, 12) for b in range(a, 40) for c in range(a, 20, 3)]
+    got = spark.createDataFrame(rows, "p double, r double").select("p", "r", E.f_beta(F.col("p"), F.col("r"), F.lit(beta)).alias("f")).collect()
+    b = beta * beta
+    assert all(x.f == (1 + b) * x.p * x.r / (b * x.p + x.r) for x in got)
+
+
 def test_windows_without_a_join(spark, data):
     df = spark.createDataFrame([(r[0], r[2]) for r in data], "code string, row_idx long")
     got = sorted((r.code, r.row_idx, r.window_id) for r in W.tested(df, WF, "code").collect())

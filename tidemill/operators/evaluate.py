@@ -79,8 +79,9 @@ def regression_metrics_ranged(df: DataFrame, target: str, prediction: str, *key:
 
 
 def f_beta(precision: Column, recall: Column, beta) -> Column:
+    """In the SQL's order of factors: thresholds of equal f_beta are ordered by recall, unless a last bit tells them apart."""
     b = beta * beta
-    return F.coalesce(F.try_divide(precision * recall * (1 + b), precision * b + recall), F.lit(0.0))
+    return F.coalesce(F.try_divide((1 + b) * precision * recall, b * precision + recall), F.lit(0.0))
 
 
 def confusion(truth: str, called: Column) -> dict[str, Column]:
